@@ -33,6 +33,3 @@ def is_integer(field: Column, as_type: str = "int") -> Column:
     """
     return F.coalesce(field.rlike("^[+-]?[0-9]+$") & field.try_cast(as_type).isNotNull(), F.lit(False))
 
-
-def to_integer(field: Column, as_type: str = "int") -> Column:
-    return F.when(is_integer(field, as_type), field.try_cast(as_type))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadpulse.functions.text import blank_to_null, csv_fields, is_integer, to_integer, unquote
+from threadpulse.functions.text import blank_to_null, csv_fields, is_integer, unquote
 from threadpulse.functions.time import event_time
 from threadpulse.schema import WIRE_COLUMNS
 
@@ -51,6 +51,16 @@ def _error(raw: dict[str, Column], n_fields: Column, id_type: str) -> Column:
     return reason
 
 
+def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters cannot drag below its own computation.
+
+    The optimizer pushes a filter on an ordinary column under the projection that
+    defines it and repeats the whole expression there. It does not do so for the
+    output of a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_lines(
     lines: DataFrame, id_type: str = "bigint", arrival: str | None = None, strict: bool = False
 ) -> DataFrame:
@@ -61,25 +71,25 @@ def parse_lines(
     rejects ids beyond 32 bits. ``arrival`` names a source timestamp column to
     keep as ``arrival_time``. ``strict`` fails the query on a malformed record.
     """
-    fields = csv_fields(F.col("value"))
+    keep = [F.col("value"), *([F.col(arrival).alias("arrival_time")] if arrival else [])]
+    split = _computed_once(lines.select(*keep), "f", csv_fields(F.col("value")))
     # A leading null column shifts the record left by one.
-    fields = F.when(fields[0] == "null", F.slice(fields, 2, F.size(fields) - 1)).otherwise(fields)
-    keep = ["value"] + ([arrival] if arrival else [])
-    split = lines.select(*keep, fields.alias("f"))
+    shift = F.when(F.get("f", F.lit(0)) == "null", 1).otherwise(0)
+    split = split.withColumn("at", shift)
 
-    raw = {c: F.get("f", F.lit(i)) for i, c in enumerate(WIRE_COLUMNS)}
-    error = _error(raw, F.size("f"), id_type)
+    raw = {c: F.get("f", F.col("at") + i) for i, c in enumerate(WIRE_COLUMNS)}
+    error = _error(raw, F.size("f") - F.col("at"), id_type)
     if strict:
         broken = F.concat(F.lit("Invalid record: "), F.col("value"))
         error = F.when(error == INVALID_RECORD, F.raise_error(broken)).otherwise(error)
-    checked = split.withColumn("error", error)
+    checked = _computed_once(split, "error", error)
 
     def text(column: str) -> Column:
         return blank_to_null(unquote(raw[column]))
 
     typed = {
         **{c: text(c) for c in WIRE_COLUMNS},
-        **{c: to_integer(raw[c], _integer_type(c, id_type)) for c in _CHECKED},
+        **{c: raw[c].try_cast(_integer_type(c, id_type)) for c in _CHECKED},
         "editors_selection": raw["editors_selection"] != "False",
         "user_location": F.regexp_replace(text("user_location"), ", *", " - "),
     }
@@ -87,7 +97,7 @@ def parse_lines(
     out = [F.when(ok, typed[c]).alias(c) for c in WIRE_COLUMNS if c != "user_id"]
     out.append(F.when(ok, typed["user_id"]).otherwise(0).alias("user_id"))
     if arrival:
-        out.append(F.col(arrival).alias("arrival_time"))
+        out.append(F.col("arrival_time"))
     return checked.select("value", "error", *out)
 
 
