@@ -5,25 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# One field of a comma-separated line: either fully quoted, or up to the next
-# comma. Possessive, so the cost is linear in the line length.
-_FIELD = r'(?:^|,)("(?:[^"]++|"")*+"(?=,|$)|[^,]*+)'
-
-
-def csv_fields(line: Column) -> Column:
-    """Array of raw fields; commas inside a quoted field do not split it."""
-    return F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
-
-
-def unquote(field: Column) -> Column:
-    inner = F.substring(field, F.lit(2), F.length(field) - 2)
-    quoted = field.startswith('"') & field.endswith('"') & (F.length(field) >= 2)
-    return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
-
-
 def blank_to_null(field: Column) -> Column:
-    """NULL for an empty field and for the literal text ``null`` that stands for one."""
-    return F.when((F.trim(field) != "") & (field != "null"), field)
+    """NULL for a field without any text."""
+    return F.when(F.trim(field) != "", field)
 
 
 def is_integer(field: Column, as_type: str = "int") -> Column:

@@ -6,12 +6,10 @@ message topic) and work the same on a batch and on a stream.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadpulse.functions.text import blank_to_null, csv_fields, is_integer, unquote
+from threadpulse.functions.text import blank_to_null, is_integer
 from threadpulse.functions.time import event_time
 from threadpulse.schema import WIRE_COLUMNS
 
@@ -29,6 +27,10 @@ _CHECKED = {
     "recommendations": "recs",
     "user_id": "userid",
 }
+# Appended to each line as one more field.
+_END = "\u0003"
+_CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "null", "maxColumns": "2000000"}
+
 _WIDE = {"approve_date", "create_date"}
 _IDS = {"comment_id", "in_reply_to", "user_id"}
 
@@ -39,18 +41,6 @@ def _integer_type(column: str, id_type: str) -> str:
     return id_type if column in _IDS else "int"
 
 
-def _error(raw: dict[str, Column], n_fields: Column, id_type: str) -> Column:
-    value = F.col("value")
-    has_url = value.contains("http:") | value.contains("https:")
-    reason = F.when(has_url, "http").when(n_fields < len(WIRE_COLUMNS), INVALID_RECORD)
-    for column, tag in _CHECKED.items():
-        label = F.lit(tag)
-        if column == "user_id":
-            label = F.concat(F.lit("userid: "), F.coalesce(blank_to_null(raw[column]), F.lit("null")))
-        reason = reason.when(~is_integer(raw[column], _integer_type(column, id_type)), label)
-    return reason
-
-
 def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that later filters cannot drag below its own computation.
 
@@ -61,6 +51,31 @@ def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def _record(line: Column) -> Column:
+    """The line as a struct of text fields, without a leading null column.
+
+    The end mark shows up among the fields if the line has too few of them or
+    leaves a quote open; extra fields are ignored.
+    """
+    shifted = F.when(line.startswith("null,"), F.substr(line, F.lit(6))).otherwise(line)
+    schema = ", ".join(f"{c} string" for c in WIRE_COLUMNS)
+    return F.from_csv(F.concat(shifted, F.lit("," + _END)), F.lit(schema), _CSV_OPTIONS)
+
+
+def _error(id_type: str) -> Column:
+    value = F.col("value")
+    has_url = value.contains("http:") | value.contains("https:")
+    too_short = F.concat_ws("", "rec.*").contains(_END)
+    reason = F.when(has_url, "http").when(too_short, INVALID_RECORD)
+    for column, tag in _CHECKED.items():
+        field = F.col(f"rec.{column}")
+        label = F.lit(tag)
+        if column == "user_id":
+            label = F.concat(F.lit("userid: "), F.coalesce(field, F.lit("null")))
+        reason = reason.when(~is_integer(field, _integer_type(column, id_type)), label)
+    return reason
+
+
 def parse_lines(
     lines: DataFrame, id_type: str = "bigint", arrival: str | None = None, strict: bool = False
 ) -> DataFrame:
@@ -72,33 +87,23 @@ def parse_lines(
     keep as ``arrival_time``. ``strict`` fails the query on a malformed record.
     """
     keep = [F.col("value"), *([F.col(arrival).alias("arrival_time")] if arrival else [])]
-    split = _computed_once(lines.select(*keep), "f", csv_fields(F.col("value")))
-    # A leading null column shifts the record left by one.
-    shift = F.when(F.get("f", F.lit(0)) == "null", 1).otherwise(0)
-    split = split.withColumn("at", shift)
-
-    raw = {c: F.get("f", F.col("at") + i) for i, c in enumerate(WIRE_COLUMNS)}
-    error = _error(raw, F.size("f") - F.col("at"), id_type)
+    split = _computed_once(lines.select(*keep), "rec", _record(F.col("value")))
+    error = _error(id_type)
     if strict:
         broken = F.concat(F.lit("Invalid record: "), F.col("value"))
         error = F.when(error == INVALID_RECORD, F.raise_error(broken)).otherwise(error)
     checked = _computed_once(split, "error", error)
+    checked = checked.withColumn("rec", F.when(F.col("error").isNull(), F.col("rec")))
 
-    def text(column: str) -> Column:
-        return blank_to_null(unquote(raw[column]))
-
-    typed = {
-        **{c: text(c) for c in WIRE_COLUMNS},
-        **{c: raw[c].try_cast(_integer_type(c, id_type)) for c in _CHECKED},
-        "editors_selection": raw["editors_selection"] != "False",
-        "user_location": F.regexp_replace(text("user_location"), ", *", " - "),
-    }
-    ok = F.col("error").isNull()
-    out = [F.when(ok, typed[c]).alias(c) for c in WIRE_COLUMNS if c != "user_id"]
-    out.append(F.when(ok, typed["user_id"]).otherwise(0).alias("user_id"))
-    if arrival:
-        out.append(F.col("arrival_time"))
-    return checked.select("value", "error", *out)
+    field = {c: F.col(f"rec.{c}") for c in WIRE_COLUMNS}
+    typed = {c: blank_to_null(f) for c, f in field.items()}
+    typed |= {c: field[c].try_cast(_integer_type(c, id_type)) for c in _CHECKED}
+    typed["user_id"] = F.coalesce(typed["user_id"], F.lit(0))
+    selected = F.coalesce(field["editors_selection"] != "False", F.lit(True))
+    typed["editors_selection"] = F.when(F.col("error").isNull(), selected)
+    typed["user_location"] = F.regexp_replace(typed["user_location"], ", *", " - ")
+    out = [typed[c].alias(c) for c in WIRE_COLUMNS]
+    return checked.select("value", "error", *out, *(["arrival_time"] if arrival else []))
 
 
 def valid_comments(parsed: DataFrame) -> DataFrame:
@@ -118,39 +123,40 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
     return rejected_lines(parsed).groupBy("error").agg(F.count("*").alias("n"))
 
 
-def repair_line(line: Column) -> Column:
-    """Bring an unquoted line back to 15 columns; NULL if it has no user id.
+def repair_lines(lines: DataFrame) -> DataFrame:
+    """Bring unquoted lines in ``value`` back to 15 columns; NULL if there is no user id.
 
-    The user id is the first integer from position 12 on (position 13 if both
-    are integers: a name may be a number). Pieces before it form the name, pieces
-    after it the location. The parent name of a direct comment becomes ``null``.
+    The user id is the integer at position 13, or else the first integer from
+    position 12 on. Pieces before it form the name, pieces after it the location.
+    The parent name of a direct comment becomes ``null``.
     """
-    pieces = F.split(line, ",", -1)
     name, user = WIRE_COLUMNS.index("user_display_name"), WIRE_COLUMNS.index("user_id")
     parent = WIRE_COLUMNS.index("parent_user_display_name")
     kind = WIRE_COLUMNS.index("comment_type")
+    p = F.col("_pieces")
 
+    def piece(i: int | Column) -> Column:
+        return F.get(p, F.lit(i) if isinstance(i, int) else i)
+
+    def between(start: int | Column, stop: Column) -> Column:
+        """Pieces from ``start`` up to, but not including, ``stop``, as one text."""
+        return F.array_join(F.slice(p, F.lit(1) + start, F.greatest(stop - start, F.lit(0))), "")
+
+    split = _computed_once(lines, "_pieces", F.split("value", ",", -1))
     integers = F.filter(
-        F.transform(pieces, lambda p, i: F.when((i >= name) & is_integer(p), i)),
+        F.transform(p, lambda text, i: F.when((i >= name) & is_integer(text), i)),
         lambda i: i.isNotNull(),
     )
-    first = F.when(F.array_contains(integers, user), F.lit(user)).otherwise(F.get(integers, F.lit(0)))
-
-    def join(start: Column, stop: Column | None = None) -> Column:
-        """Pieces from ``start`` up to, but not including, ``stop``."""
-        length = F.greatest((F.size(pieces) if stop is None else stop) - start, F.lit(0))
-        return F.array_join(F.slice(pieces, start + 1, length), "")
-
-    head = [
-        F.when(F.get(pieces, F.lit(kind)) == "comment", "null").otherwise(F.get(pieces, F.lit(i)))
-        if i == parent
-        else F.get(pieces, F.lit(i))
-        for i in range(name)
-    ]
-    columns = [*head, join(F.lit(name), first), F.get(pieces, first), join(first + 1)]
-    return F.when(first.isNotNull(), reduce(lambda a, b: F.concat(a, F.lit(","), b), columns))
-
-
-def repair_lines(lines: DataFrame) -> DataFrame:
-    """Replace ``value`` by its repaired form; irreparable lines become NULL."""
-    return lines.withColumn("value", repair_line(F.col("value")))
+    at = F.when(is_integer(piece(user)), user).otherwise(F.get(integers, F.lit(0)))
+    found = _computed_once(split, "_at", at)
+    at = F.col("_at")
+    repaired = F.concat_ws(
+        ",",
+        F.slice(p, 1, parent),
+        F.when(piece(kind) == "comment", "null").otherwise(piece(parent)),
+        F.slice(p, parent + 2, name - parent - 1),
+        between(name, at),
+        piece(at),
+        between(at + 1, F.size(p)),
+    )
+    return found.withColumn("value", F.when(at.isNotNull(), repaired)).drop("_pieces", "_at")
