@@ -82,8 +82,9 @@ def _third_level(comments: DataFrame) -> DataFrame:
 
 def credit_authors(resolved: DataFrame) -> DataFrame:
     """Depth-3 replies joined to their parent -> one credit per known author."""
-    authors = F.filter(F.array("link_user", "root_user"), lambda a: a.isNotNull())
-    return _as_credits(resolved.select("ts", F.explode(authors).alias("author")), "author", 2)
+    authors = F.explode(F.array("link_user", "root_user")).alias("author")
+    known = resolved.select("ts", authors).where(F.col("author").isNotNull())
+    return _as_credits(known, "author", 2)
 
 
 def credits_first_level(comments: DataFrame, heavy: list | None = None) -> DataFrame:

@@ -77,33 +77,35 @@ def wire_fields(comments: DataFrame) -> dict[str, Column]:
     }
 
 
+# Lines with this remainder modulo 29 get the text in place of the column.
+_BAD_TEXT = {
+    "user_location": {0: "https://example.com/me", 10: "Rome, IT"},
+    "article_word_count": {3: "n/a"},
+    "comment_id": {4: "x12"},
+    "create_date": {5: "12.5"},
+    "depth": {6: " 2"},
+    "in_reply_to": {7: ""},
+    "recommendations": {8: "3000000000"},
+    "user_id": {9: "anon"},
+    "approve_date": {12: "soon"},
+}
+
+
 def raw_lines(comments: DataFrame, defects: bool = True) -> DataFrame:
-    """Comments as raw lines; with ``defects``, twelve of every 29 lines carry one."""
+    """Comments as raw lines; with ``defects``, thirteen of every 29 lines are odd in some way."""
     fields = wire_fields(comments)
-    clean = F.concat_ws(",", *[fields[c] for c in WIRE_COLUMNS])
     if not defects:
-        return comments.select("comment_id", clean.alias("value"))
-
-    def with_field(**changed: str) -> Column:
-        return F.concat_ws(",", *[F.lit(changed[c]) if c in changed else fields[c] for c in WIRE_COLUMNS])
-
-    variants = [
-        with_field(user_location="https://example.com/me"),
-        F.concat_ws(",", *[fields[c] for c in WIRE_COLUMNS[:9]]),
-        F.concat(F.lit("null,"), clean),
-        with_field(article_word_count="n/a"),
-        with_field(comment_id="x12"),
-        with_field(create_date="12.5"),
-        with_field(depth=" 2"),
-        with_field(in_reply_to=""),
-        with_field(recommendations="3000000000"),
-        with_field(user_id="anon"),
-        with_field(user_location="Rome, IT"),
-        F.concat_ws(",", *[fields[c] for c in WIRE_COLUMNS[:14]]),
-        with_field(approve_date="soon"),
-        clean,
-    ]
-    return comments.select("comment_id", _pick(F.col("comment_id") % 29, variants).alias("value"))
+        line = F.concat_ws(",", *[fields[c] for c in WIRE_COLUMNS])
+        return comments.select("comment_id", line.alias("value"))
+    kind = F.col("comment_id") % 29
+    for column, texts in _BAD_TEXT.items():
+        for remainder, text in texts.items():
+            fields[column] = F.when(kind == remainder, text).otherwise(fields[column])
+    # Cut after 9 or 14 columns, or shifted by a leading null column.
+    length = F.when(kind == 1, 9).when(kind == 11, 14).otherwise(len(WIRE_COLUMNS))
+    line = F.concat_ws(",", F.slice(F.array(*[fields[c] for c in WIRE_COLUMNS]), F.lit(1), length))
+    line = F.when(kind == 2, F.concat(F.lit("null,"), line)).otherwise(line)
+    return comments.select("comment_id", line.alias("value"))
 
 
 def unquoted_lines(comments: DataFrame) -> DataFrame:
