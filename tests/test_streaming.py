@@ -73,6 +73,19 @@ def test_top_articles_equal_batch(spark, folder, newest_ms, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(want)
 
 
+def test_text_sink_writes_result_lines(spark, folder, newest_ms, tmp_path):
+    finish(
+        jobs.top_articles(
+            stream_of(spark, folder), DAY, f"{tmp_path}/out", f"{tmp_path}/cp", sink="text"
+        )
+    )
+    ranked = closed_only(top_articles.top_articles(batch_of(spark, folder), DAY), DAY, newest_ms)
+    want = top_articles.lines(ranked).select("line").collect()
+    got = spark.read.text(f"{tmp_path}/out/batch=*").collect()
+    assert sorted(r[0] for r in got) == sorted(r[0] for r in want)
+    assert all(r[0].count(", ") in (2, 4, 6) for r in got)
+
+
 @pytest.mark.parametrize("keyed, span", [(False, ORIGIN_DAY), (False, DAY), (True, DAY)])
 def test_slots_equal_batch(spark, folder, newest_ms, tmp_path, keyed, span):
     query = jobs.slots(stream_of(spark, folder), span, f"{tmp_path}/out", f"{tmp_path}/cp", keyed=keyed)

@@ -17,9 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from threadpulse.operators import counts, threads
 from threadpulse.operators.filters import direct_comments, valid_users
+from threadpulse.operators.ranking import pivot_lines
 from threadpulse.operators.windows import Span, label_window
 from threadpulse.plans import top_articles as articles_plan
 from threadpulse.plans import top_users as users_plan
+from threadpulse.sources.files import write_lines
 from threadpulse.streaming.credits import DEFAULT_DELAY, DEFAULT_HORIZON, credits
 
 # Keeps join and window state on local disk with an incremental log, off the heap.
@@ -30,6 +32,9 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# The console is for watching; this many windows of one micro-batch are shown.
+CONSOLE_ROWS = 1000
+
 
 def use_disk_state(spark: SparkSession) -> None:
     for key, value in STATE_CONF.items():
@@ -40,17 +45,25 @@ def _start(
     result: DataFrame,
     path: str,
     checkpoint: str,
-    finish: Callable[[DataFrame], DataFrame],
+    rows: Callable[[DataFrame], DataFrame],
+    lines: Callable[[DataFrame], DataFrame],
+    sink: str,
     available_now: bool,
 ) -> StreamingQuery:
-    """Write each micro-batch to a folder of its own.
+    """Write each micro-batch to a folder of its own, as rows or as result lines.
 
     A batch that is run again after a failure overwrites its folder, so the
-    output holds every window exactly once.
+    output holds every window exactly once. The console sink shows the lines.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        finish(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        folder = f"{path}/batch={batch_id}"
+        if sink == "parquet":
+            rows(batch).write.mode("overwrite").parquet(folder)
+        elif sink == "text":
+            write_lines(lines(rows(batch)), folder)
+        else:
+            lines(rows(batch)).orderBy("win_start_ms").show(n=CONSOLE_ROWS, truncate=False)
 
     writer = result.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
@@ -65,13 +78,16 @@ def top_articles(
     checkpoint: str,
     delay: str = DEFAULT_DELAY,
     k: int = articles_plan.TOP_ARTICLES,
+    sink: str = "parquet",
     available_now: bool = True,
 ) -> StreamingQuery:
     timed = valid_users(comments).withWatermark("ts", delay)
     counted = label_window(counts.article_counts(timed, span))
-    return _start(
-        counted, path, checkpoint, lambda batch: articles_plan.ranking(batch, k), available_now
-    )
+
+    def ranked(batch: DataFrame) -> DataFrame:
+        return articles_plan.ranking(batch, k)
+
+    return _start(counted, path, checkpoint, ranked, articles_plan.lines, sink, available_now)
 
 
 def slots(
@@ -81,6 +97,7 @@ def slots(
     checkpoint: str,
     delay: str = DEFAULT_DELAY,
     keyed: bool = False,
+    sink: str = "parquet",
     available_now: bool = True,
 ) -> StreamingQuery:
     """Slot report; ``keyed`` counts per slot first and pivots the closed counts."""
@@ -89,7 +106,8 @@ def slots(
         report = counts.pivot_slots(counts.slot_counts(timed, span), span)
     else:
         report = counts.slot_columns(timed, span)
-    return _start(label_window(report), path, checkpoint, lambda batch: batch, available_now)
+    report = label_window(report)
+    return _start(report, path, checkpoint, lambda b: b, pivot_lines, sink, available_now)
 
 
 def resolve_credits(
@@ -128,6 +146,7 @@ def top_users(
     delay: str = DEFAULT_DELAY,
     k: int = users_plan.TOP_USERS,
     max_files: int = 1000,
+    sink: str = "parquet",
     available_now: bool = True,
 ) -> StreamingQuery:
     """Second half: score the credits per window and rank the closed windows."""
@@ -137,4 +156,8 @@ def top_users(
         .parquet(credits_path)
     )
     scored = label_window(threads.score(stored.withWatermark("ts", delay), span))
-    return _start(scored, path, checkpoint, lambda batch: users_plan.ranking(batch, k), available_now)
+
+    def ranked(batch: DataFrame) -> DataFrame:
+        return users_plan.ranking(batch, k)
+
+    return _start(scored, path, checkpoint, ranked, users_plan.lines, sink, available_now)
