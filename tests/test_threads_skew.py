@@ -91,7 +91,19 @@ def test_threads_equal_brute_force_on_every_route(comments, rows, heavy):
     by_kind = threads.credits_under_replies(comments, heavy).unionByName(
         threads.credits_under_roots(comments, heavy)
     )
-    assert tuples(by_kind) == tuples(threads.credits_second_level(comments, heavy))
+    assert tuples(by_kind) == tuples(
+        threads.reply_credits(comments, heavy).where("level = 2")
+    )
+
+
+def test_link_records_round_trip(comments, rows):
+    roots, resolved, _, _ = expected(rows)
+    records = threads.link_records(comments)
+    assert set(map(tuple, records.collect())) == {(str(c), str(u)) for c, u in roots.items()} | {
+        (str(c), f"{u}_{r}") for c, u, r in resolved
+    }
+    back = threads.links_from_records(records)
+    assert set(map(tuple, back.collect())) == {(c, u, None) for c, u in roots.items()} | set(resolved)
 
 
 def test_null_parents_are_orphans_on_every_route(spark):
@@ -168,3 +180,21 @@ def test_hot_user_is_cut_into_ranges(timed, monkeypatch):
     )
     got = profile.interarrival_gaps(df, "user_id", slices=8)
     assert {r.comment_id: r.gap_seconds for r in got.collect()} == brute_gaps(rows)
+
+
+def test_group_of_copies_is_cut_too(spark):
+    """Two thirds of the rows are copies of one row; no range may hold them all."""
+    rows = [(5, 7, START)] * 600 + [(i, 7, START + timedelta(seconds=i - 300)) for i in range(10, 310)]
+    df = spark.createDataFrame(rows, "comment_id long, user_id long, ts timestamp")
+    got = profile.interarrival_gaps(df, "user_id", heavy=[7], slices=9)
+    gaps = Counter((r.comment_id, r.gap_seconds) for r in got.collect())
+    want, previous = Counter(), None
+    for cid, _, ts in sorted(rows, key=lambda r: (r[2], r[0])):
+        want[cid, (ts - previous).total_seconds() if previous else None] += 1
+        previous = ts
+    assert gaps == want
+    ranged = df.withColumn("copy", F.monotonically_increasing_id()).repartitionByRange(
+        9, "user_id", "ts", "comment_id", "copy"
+    )
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 300

@@ -146,6 +146,21 @@ def test_single_file_of_lines(spark, sample, tmp_path):
     assert got == sorted(got) and len(got) == 4
 
 
+def test_slot_lines(sample):
+    from threadpulse.operators.ranking import pivot_lines
+
+    report = slots.slots(sample, DAY)
+    got = {r.win_start_ms: r.line for r in pivot_lines(report).collect()}
+    first = ms("2018-01-01 00:00:00")
+    assert got[first] == f"{first}, 2" + ", 0" * 11
+    labelled = {r.win_start_ms: r.line for r in pivot_lines(report, label=True).collect()}
+    assert labelled[first] == "Mon Jan 01 00:00:00 UTC 2018, 2" + ", 0" * 11
+
+
+def test_audit_column(sample):
+    assert top_articles.counts(sample, DAY, audit=True).columns[-1] == "processed_at"
+
+
 def test_window_label(spark):
     df = spark.createDataFrame([(utc("2018-01-01 00:00:00"),)], "ts timestamp")
     assert df.select(tf.window_label("ts")).first()[0] == "Mon Jan 01 00:00:00 UTC 2018"

@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # 0.3 per like, 10 % more on an editor's selection, 0.7 per reply.
 LIKE_CENTS = 30
 SELECTED_LIKE_CENTS = 33
-REPLY_CENTS = 70
-
-
-def like_cents() -> Column:
-    weight = F.when(F.col("editors_selection"), SELECTED_LIKE_CENTS).otherwise(LIKE_CENTS)
-    return F.col("recommendations").cast("bigint") * weight
-
+REPLY_CENTS = "70L"
 
-def reply_cents() -> Column:
-    return F.lit(REPLY_CENTS).cast("bigint")
+LIKE_CENTS_SQL = (
+    f"CAST(recommendations AS BIGINT)"
+    f" * CASE WHEN editors_selection THEN {SELECTED_LIKE_CENTS} ELSE {LIKE_CENTS} END"
+)

@@ -15,5 +15,5 @@ def is_integer(field: Column, as_type: str = "int") -> Column:
 
     The cast alone is too lenient: it trims blanks and truncates decimals.
     """
-    return F.coalesce(field.rlike("^[+-]?[0-9]+$") & field.try_cast(as_type).isNotNull(), F.lit(False))
+    return F.coalesce(field.rlike(r"^[+-]?[0-9]+\z") & field.try_cast(as_type).isNotNull(), F.lit(False))
 

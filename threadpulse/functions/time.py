@@ -27,3 +27,8 @@ def weekday(ts: str | Column) -> Column:
 def window_label(ts: str | Column) -> Column:
     """Readable form of a window start, e.g. ``Mon Jan 01 00:00:00 UTC 2018``."""
     return F.date_format(ts, "EEE MMM dd HH:mm:ss 'UTC' yyyy")
+
+
+def processing_time() -> Column:
+    """Wall-clock time of the batch that produced a row, for audits."""
+    return F.current_timestamp()

@@ -40,13 +40,15 @@ def _gaps_by_range(df: DataFrame, key: str, slices: int) -> DataFrame:
     The rows are cut into ranges of (key, ts, comment_id), whatever their
     distribution, and each range is one group of the window. Only the first row
     of a range needs the last row of the range before it; there is one such row
-    per range. The ranges are checkpointed because both steps must see the same
-    cut, also after an executor is lost.
+    per range. A running row number lets the cut pass through a group of equal
+    copies. The ranges are checkpointed because both steps must see the same cut,
+    also after an executor is lost.
     """
     ensure_checkpoint_dir(df.sparkSession)
     ranged = (
-        df.repartitionByRange(slices, key, "ts", "comment_id")
-        .withColumn("slice", F.spark_partition_id())
+        df.withColumn("copy", F.monotonically_increasing_id())
+        .repartitionByRange(slices, key, "ts", "comment_id", "copy")
+        .select(key, "ts", "comment_id", F.spark_partition_id().alias("slice"))
         .checkpoint()
     )
     tails = ranged.groupBy("slice").agg(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadpulse.functions.time import window_label
+
 
 def top_k(df: DataFrame, k: int, value: str, key: str) -> DataFrame:
     """The k largest values per ``win_start_ms``; equal values rank by ascending key.
@@ -34,6 +36,9 @@ def ranking_lines(ranked: DataFrame, key: str, value: Column) -> DataFrame:
     )
 
 
-def pivot_lines(slots: DataFrame) -> DataFrame:
-    """One line per window: ``start, c1, …, c12``."""
-    return slots.select("win_start_ms", F.concat_ws(", ", *slots.columns).alias("line"))
+def pivot_lines(slots: DataFrame, label: bool = False) -> DataFrame:
+    """One line per window: ``start, c1, …, c12``, the start in milliseconds or as a date."""
+    start = F.col("win_start_ms")
+    shown = window_label(F.timestamp_millis(start)) if label else start
+    cells = [c for c in slots.columns if c != "win_start_ms"]
+    return slots.select("win_start_ms", F.concat_ws(", ", shown, *cells).alias("line"))

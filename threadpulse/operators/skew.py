@@ -63,7 +63,7 @@ def lookup_join(
     """
 
     def join(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.join(right, F.col(child_key) == F.col(parent_key), how)
+        return left.join(right, F.expr(f"{child_key} = {parent_key}"), how)
 
     if not heavy:
         return join(children, parents)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadpulse.functions.scores import like_cents, reply_cents
+from threadpulse.functions.scores import LIKE_CENTS_SQL, REPLY_CENTS
 from threadpulse.operators.filters import at_depth
 from threadpulse.operators.skew import heavy_keys, lookup_join
 from threadpulse.operators.windows import Span, assign_window
@@ -21,7 +21,7 @@ from threadpulse.operators.windows import Span, assign_window
 
 def heavy_parents(comments: DataFrame, **options) -> list:
     """Parents with so many replies that they need a route of their own."""
-    return heavy_keys(comments.where(F.col("depth").isin(2, 3)), "in_reply_to", **options)
+    return heavy_keys(comments.where("depth IN (2, 3)"), "in_reply_to", **options)
 
 
 def latest_links(comments: DataFrame) -> DataFrame:
@@ -29,102 +29,101 @@ def latest_links(comments: DataFrame) -> DataFrame:
     return (
         at_depth(comments, 1)
         .groupBy("comment_id")
-        .agg(F.max(F.struct("ts", "user_id")).alias("last"))
-        .select(F.col("comment_id").alias("link_id"), F.col("last.user_id").alias("link_user"))
+        .agg(F.expr("max(struct(ts, user_id)) AS last"))
+        .selectExpr("comment_id AS link_id", "last.user_id AS link_user")
     )
 
 
-def _resolved_replies(comments: DataFrame, heavy: list | None) -> DataFrame:
-    replies = at_depth(comments, 2).select("comment_id", "user_id", "in_reply_to", "ts")
-    joined = lookup_join(replies, latest_links(comments), "in_reply_to", "link_id", heavy=heavy)
-    return joined.select("comment_id", "user_id", F.col("link_user").alias("root_user"), "ts")
+def _resolved_replies(comments: DataFrame, links: DataFrame, heavy: list | None) -> DataFrame:
+    replies = at_depth(comments, 2).selectExpr("comment_id", "user_id", "in_reply_to", "ts")
+    joined = lookup_join(replies, links, "in_reply_to", "link_id", heavy=heavy)
+    return joined.selectExpr("comment_id", "user_id", "link_user AS root_user", "ts")
 
 
 def reply_links(comments: DataFrame, heavy: list | None = None) -> DataFrame:
     """Depth-2 comment, its author and the author of the thread's root."""
-    return _resolved_replies(comments, heavy).drop("ts")
+    return _resolved_replies(comments, latest_links(comments), heavy).drop("ts")
 
 
-def _latest_reply_links(comments: DataFrame, heavy: list | None) -> DataFrame:
+def _latest_reply_links(resolved: DataFrame) -> DataFrame:
     return (
-        _resolved_replies(comments, heavy)
-        .groupBy("comment_id")
-        .agg(F.max(F.struct("ts", "user_id", "root_user")).alias("last"))
-        .select(
-            F.col("comment_id").alias("link_id"),
-            F.col("last.user_id").alias("link_user"),
-            F.col("last.root_user").alias("root_user"),
-        )
+        resolved.groupBy("comment_id")
+        .agg(F.expr("max(struct(ts, user_id, root_user)) AS last"))
+        .selectExpr("comment_id AS link_id", "last.user_id AS link_user", "last.root_user AS root_user")
     )
 
 
-def _known_comments(comments: DataFrame, heavy: list | None) -> DataFrame:
+def _known_comments(links: DataFrame, resolved: DataFrame) -> DataFrame:
     """Every comment a depth-3 reply can resolve to. A comment has one depth, so ids do not clash.
 
     Both sides are hash-partitioned by ``link_id`` already and stay so in the union.
     """
-    roots = latest_links(comments).withColumn("root_user", F.lit(None).cast("bigint"))
-    return roots.unionByName(_latest_reply_links(comments, heavy))
+    roots = links.selectExpr("*", "CAST(NULL AS BIGINT) AS root_user")
+    return roots.unionByName(_latest_reply_links(resolved))
 
 
-def _as_credits(df: DataFrame, author: str, level: int) -> DataFrame:
-    return df.select(
-        "ts",
-        F.col(author).alias("author"),
-        reply_cents().alias("cents"),
-        F.lit(level).alias("level"),
+def as_credits(df: DataFrame, author: str, level: int) -> DataFrame:
+    return df.selectExpr(
+        "ts", f"{author} AS author", f"{REPLY_CENTS} AS cents", f"{level} AS level"
     )
 
 
 def _third_level(comments: DataFrame) -> DataFrame:
-    return at_depth(comments, 3).select("in_reply_to", "ts")
+    return at_depth(comments, 3).selectExpr("in_reply_to", "ts")
 
 
 def credit_authors(resolved: DataFrame) -> DataFrame:
     """Depth-3 replies joined to their parent -> one credit per known author."""
-    authors = F.explode(F.array("link_user", "root_user")).alias("author")
-    known = resolved.select("ts", authors).where(F.col("author").isNotNull())
-    return _as_credits(known, "author", 2)
+    authors = "explode(array(link_user, root_user)) AS author"
+    known = resolved.selectExpr("ts", authors).where("author IS NOT NULL")
+    return as_credits(known, "author", 2)
 
 
-def credits_first_level(comments: DataFrame, heavy: list | None = None) -> DataFrame:
-    replies = at_depth(comments, 2).select("in_reply_to", "ts")
-    joined = lookup_join(replies, latest_links(comments), "in_reply_to", "link_id", heavy=heavy)
-    return _as_credits(joined, "link_user", 1)
+def link_records(comments: DataFrame, heavy: list | None = None) -> DataFrame:
+    """Known comments as text records: ``user`` for a root, ``user_root`` for a reply to one."""
+    links = latest_links(comments)
+    known = _known_comments(links, _resolved_replies(comments, links, heavy))
+    return known.selectExpr(
+        "CAST(link_id AS STRING) AS key", "concat_ws('_', link_user, root_user) AS value"
+    )
 
 
-def credits_second_level(comments: DataFrame, heavy: list | None = None) -> DataFrame:
-    """Depth-3 replies, whichever depth their parent has."""
-    known = _known_comments(comments, heavy)
-    replies = _third_level(comments)
-    return credit_authors(lookup_join(replies, known, "in_reply_to", "link_id", heavy=heavy))
+def links_from_records(records: DataFrame) -> DataFrame:
+    """Typed links back from their text records."""
+    return records.selectExpr(
+        "CAST(key AS BIGINT) AS link_id",
+        "CAST(get(split(value, '_'), 0) AS BIGINT) AS link_user",
+        "CAST(get(split(value, '_'), 1) AS BIGINT) AS root_user",
+    )
 
 
 def credits_under_replies(comments: DataFrame, heavy: list | None = None) -> DataFrame:
     """Only depth-3 replies to a depth-2 comment: two credits each."""
-    links = _latest_reply_links(comments, heavy)
+    parents = _latest_reply_links(_resolved_replies(comments, latest_links(comments), heavy))
     replies = _third_level(comments)
-    return credit_authors(lookup_join(replies, links, "in_reply_to", "link_id", heavy=heavy))
+    return credit_authors(lookup_join(replies, parents, "in_reply_to", "link_id", heavy=heavy))
 
 
 def credits_under_roots(comments: DataFrame, heavy: list | None = None) -> DataFrame:
     """Only depth-3 replies to a depth-1 comment: one credit each."""
     replies = _third_level(comments)
     joined = lookup_join(replies, latest_links(comments), "in_reply_to", "link_id", heavy=heavy)
-    return _as_credits(joined, "link_user", 2)
+    return as_credits(joined, "link_user", 2)
 
 
 def like_credits(comments: DataFrame) -> DataFrame:
-    return at_depth(comments, 1).select(
-        "ts",
-        F.col("user_id").alias("author"),
-        like_cents().alias("cents"),
-        F.lit(0).alias("level"),
+    return at_depth(comments, 1).selectExpr(
+        "ts", "user_id AS author", f"{LIKE_CENTS_SQL} AS cents", "0 AS level"
     )
 
 
 def reply_credits(comments: DataFrame, heavy: list | None = None) -> DataFrame:
-    return credits_first_level(comments, heavy).unionByName(credits_second_level(comments, heavy))
+    """Level 1: depth-2 replies. Level 2: depth-3 replies, whichever depth their parent has."""
+    links = latest_links(comments)
+    resolved = _resolved_replies(comments, links, heavy)
+    known = _known_comments(links, resolved)
+    third = lookup_join(_third_level(comments), known, "in_reply_to", "link_id", heavy=heavy)
+    return as_credits(resolved, "root_user", 1).unionByName(credit_authors(third))
 
 
 def all_credits(comments: DataFrame, heavy: list | None = None) -> DataFrame:
@@ -133,16 +132,14 @@ def all_credits(comments: DataFrame, heavy: list | None = None) -> DataFrame:
 
 def orphan_replies(comments: DataFrame, heavy: list | None = None) -> DataFrame:
     """Replies that resolve to no known parent."""
-    columns = ["comment_id", "depth", "in_reply_to"]
-    second = at_depth(comments, 2).select(columns)
-    third = at_depth(comments, 3).select(columns)
-    lost_second = lookup_join(
-        second, latest_links(comments), "in_reply_to", "link_id", "left_anti", heavy
-    )
-    lost_third = lookup_join(
-        third, _known_comments(comments, heavy), "in_reply_to", "link_id", "left_anti", heavy
-    )
-    return lost_second.unionByName(lost_third)
+    links = latest_links(comments)
+    known = _known_comments(links, _resolved_replies(comments, links, heavy))
+
+    def lost(depth: int, parents: DataFrame) -> DataFrame:
+        replies = at_depth(comments, depth).selectExpr("comment_id", "depth", "in_reply_to")
+        return lookup_join(replies, parents, "in_reply_to", "link_id", "left_anti", heavy)
+
+    return lost(2, links).unionByName(lost(3, known))
 
 
 def score(credits: DataFrame, span: Span, *extra_keys: str) -> DataFrame:
@@ -150,5 +147,5 @@ def score(credits: DataFrame, span: Span, *extra_keys: str) -> DataFrame:
     return (
         assign_window(credits, span)
         .groupBy("window", *extra_keys, "author")
-        .agg(F.sum("cents").alias("cents"))
+        .agg(F.expr("sum(cents) AS cents"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from threadpulse.functions import time as tf
 from threadpulse.functions.text import is_integer
 from threadpulse.operators import filters, profile, threads
+from threadpulse.operators.ranking import pivot_lines
 from threadpulse.operators.windows import (
     DAY,
     HOUR,
@@ -144,6 +145,8 @@ def queries() -> dict[str, Query]:
     out["orphan_replies"] = _with_heavy(lambda c, h: _bigint(threads.orphan_replies(c, h), "depth"))
     out["latest_link"] = _over_comments(lambda c: threads.latest_links(filters.valid_users(c)))
 
+    out["link_records"] = _with_heavy(threads.link_records)
+
     out["filter_valid"] = _filtered(filters.valid_users)
     out["filter_direct"] = _filtered(filters.direct_comments)
     out["hour_slot"] = _per_comment("slot", tf.hour_slot)
@@ -153,6 +156,7 @@ def queries() -> dict[str, Query]:
     out["window_label"] = _over_comments(_window_label)
     out["result_lines"] = _over_comments(lambda c: top_articles.lines(top_articles.top_articles(c, DAY)))
     out["result_lines_users"] = _over_comments(lambda c: top_users.lines(top_users.top_users(c, DAY)))
+    out["result_lines_slots"] = _over_comments(lambda c: pivot_lines(slots.slots(c, DAY), label=True))
     out["serialize_rows"] = _over_comments(_serialize)
 
     out["ingest_valid"] = _over_comments(_ingest_valid)

@@ -260,6 +260,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT comment_id AS link_id, user_id AS link_user FROM links1", THREADS
     )
 
+    out["link_records"] = _with(
+        """SELECT CAST(comment_id AS VARCHAR) AS key, CAST(user_id AS VARCHAR) AS value FROM links1
+        UNION ALL
+        SELECT CAST(comment_id AS VARCHAR), user_id || '_' || root_user FROM links2""",
+        THREADS,
+    )
+
     plain = "SELECT comment_id, user_id, ts_ms, comment_type FROM"
     out["filter_valid"] = _with(f"{plain} valid")
     out["filter_direct"] = _with(f"{plain} direct")
@@ -281,6 +288,12 @@ def oracle_sql() -> dict[str, str]:
         _lines(_top(_user_scores(_DAY_MS), 10, "cents", "author"), "author", "CAST(cents / 100 AS VARCHAR)"),
         THREADS,
     )
+    cells = ", ".join(f"s{i:02d}" for i in range(1, 13))
+    out["result_lines_slots"] = _with(
+        f"""SELECT win_start_ms, concat_ws(', ',
+          strftime(make_timestamp(win_start_ms * 1000), '%a %b %d %H:%M:%S UTC %Y'), {cells}) AS line
+        FROM ({_slots(_DAY_MS)})"""
+    )
     out["serialize_rows"] = _with(_serialize(), LINES)
 
     out["ingest_valid"] = _with(_INGEST_VALID, LINES)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadpulse.functions.time import processing_time
 from threadpulse.operators.counts import article_counts
 from threadpulse.operators.filters import valid_users
 from threadpulse.operators.ranking import ranking_lines, top_k
@@ -13,8 +14,10 @@ from threadpulse.operators.windows import Span, label_window
 TOP_ARTICLES = 3
 
 
-def counts(comments: DataFrame, span: Span) -> DataFrame:
-    return label_window(article_counts(valid_users(comments), span))
+def counts(comments: DataFrame, span: Span, audit: bool = False) -> DataFrame:
+    """Comments per article and window; ``audit`` adds when the row was computed."""
+    counted = label_window(article_counts(valid_users(comments), span))
+    return counted.withColumn("processed_at", processing_time()) if audit else counted
 
 
 def ranking(counted: DataFrame, k: int = TOP_ARTICLES) -> DataFrame:

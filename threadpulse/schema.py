@@ -19,6 +19,18 @@ COMMENTS = T.StructType(
     ]
 )
 
+# The event table that `sources.views` reads; stated, so that no query starts a schema scan.
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
 # The 15 columns of a raw line, in wire order.
 WIRE_COLUMNS = [
     "approve_date",

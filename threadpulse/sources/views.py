@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadpulse.schema import COMMENTS, WIRE_COLUMNS
+from threadpulse.schema import COMMENTS, EVENTS, WIRE_COLUMNS
 from threadpulse.session import use_utc
 
 # Threads are laid out by event id: depth 1, 2, 3 in turn; every 11th id has no
@@ -31,7 +31,7 @@ def comments_from_events(events: DataFrame) -> DataFrame:
 
 
 def load_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comments_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return comments_from_events(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def _pick(selector: Column, choices: list) -> Column:

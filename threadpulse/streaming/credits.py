@@ -65,11 +65,8 @@ def credits(
         F.col("link_user").alias("root_user"),
         F.col("ts").alias("link_ts"),
     )
-    first_level = resolved.select(
-        F.col("link_ts").alias("ts"),
-        F.col("root_user").alias("author"),
-        threads.reply_cents().alias("cents"),
-        F.lit(1).alias("level"),
+    first_level = threads.as_credits(
+        resolved.selectExpr("link_ts AS ts", "root_user"), "root_user", level=1
     )
 
     third = at_depth(valid, 3).select("comment_id", "in_reply_to", "ts").withWatermark("ts", delay)
