@@ -47,25 +47,27 @@ def timed(action) -> float:
 
 
 def stream_rate(spark) -> tuple[float, int]:
-    """Seconds for the streaming top articles over a folder of lines, and its rows."""
+    """Seconds for the streaming top articles over four files of lines, and their rows."""
     from threadpulse.operators.windows import DAY
     from threadpulse.sources import files, ingest, streams, views
     from threadpulse.streaming import jobs
 
     work = tempfile.mkdtemp(prefix="bench-stream-")
     comments = views.load_comments(spark, SF_DIR)
-    lines = views.raw_lines(comments, defects=False).select("value")
-    lines.repartitionByRange(4, "value").write.text(f"{work}/lines")
     rows = comments.count()
+    for i in range(4):  # in event order, one file per micro-batch
+        part = comments.where(f"comment_id * 4 div {rows} = {i}")
+        lines = views.raw_lines(part, defects=False).select("value")
+        lines.coalesce(1).write.mode("append").text(f"{work}/lines")
 
-    def run() -> None:
+    def run(attempt: int) -> None:
         parsed = ingest.parse_lines(streams.lines_from_folder(spark, f"{work}/lines", max_files=1))
         query = jobs.top_articles(
-            ingest.valid_comments(parsed), DAY, f"{work}/out", f"{work}/checkpoint", delay="40 days"
+            ingest.valid_comments(parsed), DAY, f"{work}/out{attempt}", f"{work}/checkpoint{attempt}"
         )
         query.awaitTermination()
 
-    return timed(run), rows
+    return min(timed(lambda attempt=i: run(attempt)) for i in range(2)), rows
 
 
 def main() -> None:
@@ -81,14 +83,16 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     catalogue = queries()
-    seconds: dict[str, float] = {}
-    for name in HEADLINE:
 
-        def run(name=name) -> None:
-            catalogue[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+    def run(name: str) -> None:
+        catalogue[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
 
-        run()  # compile and load
-        seconds[name] = round(min(timed(run) for _ in range(RUNS)), 4)
+    for name in HEADLINE:  # load classes and compile, so that order does not matter
+        run(name)
+    seconds = {
+        name: round(min(timed(lambda name=name: run(name)) for _ in range(RUNS)), 4)
+        for name in HEADLINE
+    }
 
     report = {
         "metric": "sum of best-of-3 query seconds",

@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Read at start only. Checkpoint files go when nothing refers to them any more.
+STATIC_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(
     app_name: str = "threadpulse",
@@ -22,7 +25,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
+    for key, value in {**RUNTIME_CONF, **STATIC_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
