@@ -104,7 +104,7 @@ def raw_lines(comments: DataFrame, defects: bool = True) -> DataFrame:
     # Cut after 9 or 14 columns, or shifted by a leading null column.
     length = F.when(kind == 1, 9).when(kind == 11, 14).otherwise(len(WIRE_COLUMNS))
     line = F.concat_ws(",", F.slice(F.array(*[fields[c] for c in WIRE_COLUMNS]), F.lit(1), length))
-    line = F.when(kind == 2, F.concat(F.lit("null,"), line)).otherwise(line)
+    line = F.concat(F.when(kind == 2, "null,").otherwise(""), line)
     return comments.select("comment_id", line.alias("value"))
 
 
