@@ -13,10 +13,13 @@ from threadpulse.llm import (
     bottom_k,
     cover_dedup,
     folders,
+    html_trees,
     merge_bpe,
     range_coder,
     rule_ledger,
     secret_structure,
+    segment_language,
+    string_kernel,
     winnowing,
 )
 
@@ -33,6 +36,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_trees.main_text(table(spark, sf_dir, "pages"))
+
+
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cover_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -68,21 +75,32 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom_k.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_language.predict(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_bpe.digests(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_kernel.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_structure.scan(table(spark, sf_dir, "documents")).drop("n_spans")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": html_extraction,
         "op2_substring_dedup": substring_dedup,
         "op3_quality_rules": quality_rules,
         "op4_benchmark_decontamination": benchmark_decontamination,
         "op5_token_output": token_output,
         "op6_minhash_near_dedup": minhash_near_dedup,
+        "op7_language_id": language_id,
         "op8_sentencepiece": sentencepiece,
+        "op9_toxicity": toxicity,
         "op10_secret_scan": secret_scan,
     }
