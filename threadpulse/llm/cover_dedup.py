@@ -7,7 +7,7 @@ input.
 The positions {0, 1, 3, 9} modulo 13 are a difference cover: for any two positions some shift below 13 puts
 both on cover positions. So two equal windows of 20 words share an anchor, the hash of 8 words that begin
 at a cover position in both. Only anchors (4 of 13 positions) are shuffled to find those that occur again;
-from each such anchor the match is extended to the windows that contain it, which are compared by a 128-bit
+from each such anchor the match is extended to the windows that contain it, which are compared by a 96-bit
 hash of all their words.
 
 Skew: within a slice of texts (4 MB) equal anchors and equal windows are settled at once, and one row for
@@ -64,16 +64,17 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead[index] = True
         spread = np.where(again & ~lead, W.mix(hashed + W.mix(at.astype(np.uint64) + np.uint64(1))), hashed)
         yield pa.RecordBatch.from_arrays(
-            [W.signed(spread), pa.array(doc), pa.array(place, pa.int32()), pa.array(again)],
-            ["anchor", "doc_id", "place", "again"],
+            [W.signed(spread), pa.array(doc), pa.array(np.where(again, ~place, place), pa.int32())],
+            ["anchor", "doc_id", "place"],
         )
 
 
 def repeated_anchors(docs: DataFrame, parts: int) -> DataFrame:
     """doc_id and places (binary, u32) of the anchors of a document that occur more than once anywhere."""
-    found = docs.mapInArrow(_anchors, "anchor long, doc_id long, place int, again boolean")
+    found = docs.mapInArrow(_anchors, "anchor long, doc_id long, place int")  # ~place if settled in its slice
     number = F.count(F.lit(1)).over(Window.partitionBy("anchor"))
-    return found.repartition(parts, "anchor").withColumn("n", number).where("n > 1 OR again").select("doc_id", "place")
+    again = found.repartition(parts, "anchor").withColumn("n", number).where("n > 1 OR place < 0")
+    return again.select("doc_id", F.greatest("place", F.bitwise_not("place")).alias("place"))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +103,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the same document twice is no earlier document
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
         later = same & ((doc != doc[lead]) | (start != start[lead]))
-        yield _window_rows(one[~same], two[~same], doc[~same], start[~same], start[~same], False)
+        yield _window_rows(one[~same], two[~same], doc[~same], start[~same], np.zeros(len(order) - same.sum(), np.int64))
         order = np.lexsort((start[later], doc[later]))
         doc, start = doc[later][order], start[later][order]
         begins = np.ones(len(doc), bool)
@@ -110,13 +111,14 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead = np.flatnonzero(begins)
         last = np.concatenate([lead[1:], [len(doc)]])[: len(lead)] - 1
         spread = W.mix(doc[lead].astype(np.uint64) ^ (start[lead].astype(np.uint64) << np.uint64(40)))
-        yield _window_rows(spread, np.zeros(len(lead), np.uint64), doc[lead], start[lead], start[last], True)
+        yield _window_rows(spread, np.zeros(len(lead), np.uint64), doc[lead], start[lead], start[last] - start[lead] + 1)
 
 
-def _window_rows(one, two, doc, start, last, later: bool) -> pa.RecordBatch:
+def _window_rows(one, two, doc, start, run) -> pa.RecordBatch:
+    """Rows for windows, with run 0, or for runs of windows that are known not to be the first of their kind."""
     return pa.RecordBatch.from_arrays(
-        [W.signed(one), W.signed(two), pa.array(doc), pa.array(start, pa.int32()), pa.array(last, pa.int32()), pa.array(np.full(len(doc), later))],
-        ["hash1", "hash2", "doc_id", "start", "last", "later"],
+        [W.signed(one), pa.array(two.astype(np.uint32).view(np.int32)), pa.array(doc), pa.array(start << 32 | run)],
+        ["hash1", "hash2", "doc_id", "spot"],
     )
 
 
@@ -157,17 +159,17 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     places = folders.written(repeated_anchors(placed, parts), "anchors")
     places = places.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
     candidates = placed.join(places, "doc_id").select("doc_id", "text", "places")
-    windows = candidates.mapInArrow(
-        _windows, "hash1 long, hash2 long, doc_id long, start int, last int, later boolean"
-    )
-    place = F.struct("doc_id", "start")
+    windows = candidates.mapInArrow(_windows, "hash1 long, hash2 int, doc_id long, spot long")
+    place = F.struct("doc_id", "spot")
     earliest = F.min(place).over(Window.partitionBy("hash1", "hash2"))
+    run = F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF))
+    start = F.shiftright("spot", 32)
     removed = (
         windows.repartition(parts, "hash1", "hash2")
         .withColumn("earliest", earliest)
-        .where(F.col("later") | (F.col("earliest") < place))
+        .where((run > 0) | (F.col("earliest") < place))
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("start", "last")).alias("windows"))
+        .agg(F.collect_list(F.struct(start.alias("start"), (start + F.greatest(run, F.lit(1)) - 1).alias("last"))).alias("windows"))
     )
     removed = folders.written(removed, "passages")
     return wanted.join(removed, "doc_id", "left").select("doc_id", "text", "windows").mapInArrow(
