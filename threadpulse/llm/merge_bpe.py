@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from threadpulse.llm import words as W
 
 MARK = "▁"
-CACHED_WORDS, CACHED_LETTERS = 400_000, 64
+CACHED_WORDS, CACHED_LETTERS = 300_000, 64
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -51,15 +51,25 @@ class MergeEncoder:
                 self.rank[piece] = -model.get_score(i)
         # A piece of one letter needs no merge; any other counts only if merging its letters gives it.
         self.parts: dict[str, tuple[str, str]] = {}
-        automaton = ahocorasick.Automaton()
+        automaton, pieces = ahocorasick.Automaton(), []
         for piece in sorted(self.id, key=lambda p: (self.rank[p], len(p))):
             if len(piece) == 1 or self._by_merges(piece):
                 automaton.add_word(piece, len(piece))
+                pieces.append(piece)
         automaton.make_automaton()
+        usable = set(pieces)
+        #: Length of the longest usable piece that a piece begins with.
+        self.shorter = {p: next((k for k in range(len(p) - 1, 0, -1) if p[:k] in usable), 0) for p in pieces}
+        self.letters = frozenset(p for p in pieces if len(p) == 1)
+        self.runs = re.compile(f"[{re.escape(''.join(sorted(self.letters)))}]+|.", re.DOTALL)
         self.automaton = automaton
-        self.cache: dict[str, tuple[str, int, bytes]] = {}
+        # two generations of words: when the young one is full it becomes the old one, and the old one goes
+        self.young: dict[str, tuple[str, int, bytes]] = {}
+        self.old: dict[str, tuple[str, int, bytes]] = {}
         self.known: dict[tuple[str, str], bool] = {}
-        self.word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        # a line end that no piece has stands alone, so that words beside it repeat more often
+        end = "" if "\n" in self.id else "\n"
+        self.word = re.compile(f"{MARK}*[^{MARK}{end}]+|{MARK}+|{end or MARK}+")
 
     def _by_merges(self, text: str) -> bool:
         """Whether merging the letters of text gives one piece; notes its last two parts."""
@@ -81,8 +91,6 @@ class MergeEncoder:
         The last merges are undone from both ends: a joint piece over the seam, were it merged before the
         larger of the two parts beside it, would have come first. On equal order the leftmost wins.
         """
-        if (stable := self.known.get((left, right))) is not None:
-            return stable
         a, b, limit, from_right = left, right, float("inf"), True
         rank, parts = self.rank, self.parts
         stable = True
@@ -108,61 +116,60 @@ class MergeEncoder:
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text without unknown letters."""
-        n = len(text)
-        at: list[list[int]] = [[] for _ in range(n)]
+        longest = [0] * len(text)
         for last, size in self.automaton.iter(text):
-            at[last - size + 1].append(size)
-        for sizes in at:
-            sizes.sort()  # the longest is taken from the end
-        failed = bytearray((n >> 3) + 1)
+            longest[last - size + 1] = size  # matches come by their end, so the longest of a place is last
+        failed = bytearray((len(text) >> 3) + 1)
+        known, shorter = self.known, self.shorter
         out: list[str] = []
-        place, tried = 0, [len(at[0]) - 1] if n else []
-        while place < n:
-            sizes, k = at[place], tried[-1]
-            before = out[-1] if out else None
-            while k >= 0:
-                end = place + sizes[k]
-                if not failed[end >> 3] >> (end & 7) & 1 and (before is None or self._stable(before, text[place:end])):
-                    break
-                k -= 1
-            if k >= 0:
-                tried[-1] = k - 1
-                out.append(text[place:end])
-                place = end
-                if place < n:
-                    tried.append(len(at[place]) - 1)
-            else:
-                if not out:
-                    raise ValueError("the vocabulary has no stable sequence for this text")
+        place, size, before = 0, longest[0] if longest else 0, None
+        while place < len(longest):
+            while size:
+                end = place + size
+                piece = text[place:end]
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if before is None:
+                        break
+                    if (stable := known.get((before, piece))) is None:
+                        stable = self._stable(before, piece)
+                    if stable:
+                        break
+                size = shorter.get(piece, 0)
+            if size:
+                out.append(piece)
+                place, before = end, piece
+                size = longest[place] if place < len(longest) else 0
+            elif out:
                 failed[place >> 3] |= 1 << (place & 7)
-                tried.pop()
-                place -= len(out.pop())
+                piece = out.pop()
+                place -= len(piece)
+                before = out[-1] if out else None
+                size = shorter.get(piece, 0)
+            else:
+                raise ValueError("the vocabulary has no stable sequence for this text")
         return out
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of a word with its leading marks; letters that no piece has become their UTF-8 bytes."""
+        if self.letters.issuperset(word):
+            return [self.id[p] for p in self.pieces(word)]
         ids: list[int] = []
-        run = ""
-        for letter in [*word, None]:
-            if letter is not None and letter in self.id:
-                run += letter
-                continue
-            if run:
+        for run in self.runs.findall(word):
+            if run in self.letters or len(run) > 1:
                 ids += [self.id[p] for p in self.pieces(run)]
-                run = ""
-            if letter is not None:
-                ids += [self.byte_id.get(b, self.unknown_id) for b in letter.encode("utf-8", "replace")]
+            else:
+                ids += [self.byte_id.get(b, self.unknown_id) for b in run.encode("utf-8", "replace")]
         return ids
 
     def _of_word(self, word: str) -> tuple[str, int, bytes]:
         """Ids as text with a leading space each, their number, and the bytes that they decode to."""
-        if (kept := self.cache.get(word)) is None:
+        if (kept := self.old.get(word)) is None:
             ids = self.encode_word(word)
-            if len(self.cache) >= CACHED_WORDS:
-                self.cache.clear()
             kept = "".join(f" {i}" for i in ids), len(ids), self._bytes(ids)
-            if len(word) <= CACHED_LETTERS:
-                self.cache[word] = kept
+        if len(word) <= CACHED_LETTERS:
+            if len(self.young) >= CACHED_WORDS:
+                self.old, self.young = self.young, {}
+            self.young[word] = kept
         return kept
 
     def _bytes(self, ids: list[int]) -> bytes:
@@ -192,7 +199,8 @@ class MergeEncoder:
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the decimal ids joined by spaces, SHA-256 of the decoded text."""
-        found = [self._of_word(w) for w in self.word.findall(self.marked(text or ""))]
+        young, rare = self.young, self._of_word
+        found = [young.get(w) or rare(w) for w in self.word.findall(self.marked(text or ""))]
         ids = "".join([f[0] for f in found] + [f" {self.end_id}"])[1:]
         decoded = self._text(b"".join([f[2] for f in found]))
         return (

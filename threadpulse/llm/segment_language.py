@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -34,7 +35,7 @@ SAMPLE = 150
 ROUNDS = 3
 FLOOR = 1e-7  # probability of a letter that no piece covers
 SMOOTH = 0.1
-CACHED_WORDS, CACHED_LETTERS = 400_000, 64
+CACHED_WORDS = 1_000_000
 UNKNOWN = "und"
 MARK = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -50,7 +51,7 @@ class Pieces:
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             if not model.is_control(i) and not model.is_byte(i) and piece.removeprefix(MARK).isalpha() and piece == piece.lower():
-                self.automaton.add_word(piece, (self.n, len(piece)))
+                self.automaton.add_word(piece, self.n << 8 | len(piece))
                 self.n += 1
         self.automaton.make_automaton()
 
@@ -62,12 +63,10 @@ class Lattice:
     """All pieces in a list of words: the word, the place of the end, the length and the number of each."""
 
     def __init__(self, pieces: Pieces, words: list[str]):
-        found = [
-            (w, last + 1, size, number)
-            for w, word in enumerate(words)
-            for last, (number, size) in pieces.automaton.iter(MARK + word)
-        ]
-        self.word, end, self.size, self.piece = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else [np.empty(0, np.int64)] * 4
+        found = [list(pieces.automaton.iter(MARK + word)) for word in words]
+        pairs = np.array(list(chain.from_iterable(found)), np.int64).reshape(-1, 2)
+        self.word = np.repeat(np.arange(len(words)), [len(f) for f in found])
+        end, self.size, self.piece = pairs[:, 0] + 1, pairs[:, 1] & 255, pairs[:, 1] >> 8
         self.lengths = np.array([len(w) + 1 for w in words], np.int64)
         order = np.lexsort((self.word, end))
         self.word, self.size, self.piece, self.end = self.word[order], self.size[order], self.piece[order], end[order]

@@ -44,7 +44,7 @@ ROUNDS, STEPS, FORMS = 2, 150, 2
 REGULAR = 1e-4
 #: A word is suspect at first if so many toxic documents of the sample have it, and this share of all with it.
 MIN_TOXIC, TOXIC_SHARE = 4, 0.8
-CACHED_WORDS, CACHED_LETTERS = 500_000, 64
+CACHED_WORDS = 1_000_000
 
 TOP, SENTENCE_WEIGHT = 3, 0.02
 _CODES, _BEGIN, _END = 64, 0, 63
