@@ -164,10 +164,10 @@ class Scorer:
 
     def _learn(self, words: list[str]) -> None:
         runs = [[p for run in letters(w) for p in _parts(run)] for w in words]
-        distinct = list({p for own in runs for p in own})
+        distinct = sorted({p for own in runs for p in own}, key=len)  # words of about one length fill a lattice
         total = {}
-        for i in range(0, len(distinct), 20_000):
-            part = distinct[i : i + 20_000]
+        for i in range(0, len(distinct), 5_000):
+            part = distinct[i : i + 5_000]
             total.update(zip(part, self.pieces.lattice(part).totals(self.chances), strict=True))
         first = len(self.row)
         while len(self.known) < first + len(words):
