@@ -13,13 +13,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def sample(rows: DataFrame, label: str, per_label: int) -> DataFrame:
-    """Up to per_label rows (doc_id, text, label) for each label, the ones with the smallest hash of doc_id.
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int) -> DataFrame:
+    """Up to per_label rows (doc_id, text, label) for each label: those with the smallest hash of doc_id.
 
-    Every task keeps that many rows a label before the shuffle, so a frequent label moves no more.
+    The ids are chosen in labels (doc_id and label, the largest if a doc_id has several) before any text is
+    read. Every task keeps that many ids a label before the shuffle, so a frequent label moves no more. Rows
+    of docs without a text, or a doc_id that docs lacks, leave the sample smaller.
     """
-    kept = rows.where(~held_out() & F.col(label).isNotNull() & F.col("text").isNotNull())
+    known = labels.where(~held_out() & F.col(label).isNotNull()).select("doc_id", label)
     order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-    ranked = kept.select("doc_id", label).withColumn("rank", F.row_number().over(order)).where(f"rank <= {per_label}")
-    chosen = F.broadcast(ranked.select("doc_id", label).distinct())  # per_label rows a label at most
-    return kept.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", label)
+    ranked = known.withColumn("rank", F.row_number().over(order)).where(f"rank <= {per_label}")
+    chosen = F.broadcast(ranked.groupBy("doc_id").agg(F.max(label).alias(label)))  # per_label rows a label at most
+    return docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id")

@@ -204,7 +204,7 @@ def _pieces_of(model_file: str) -> Pieces:
 def predict(docs: DataFrame, model_file: str, per_language: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row; learns from docs (doc_id, text, lang) first."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    texts = [(r["text"], r["lang"]) for r in labelled.sample(rows, "lang", per_language).collect()]
+    texts = [(r["text"], r["lang"]) for r in labelled.sample(rows, rows, "lang", per_language).collect()]
     fitted = docs.sparkSession.sparkContext.broadcast(fit(texts, _pieces_of(model_file)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

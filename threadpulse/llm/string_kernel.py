@@ -249,8 +249,8 @@ _scorers: dict[int, Scorer] = {}
 def score(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score and predicted of every row; learns from labels (doc_id, toxic) first."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = labels.where("toxic IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    texts = [(r["text"], r["toxic"]) for r in labelled.sample(rows.join(known, "doc_id"), "toxic", per_label).collect()]
+    known = labels.where("toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    texts = [(r["text"], r["toxic"]) for r in labelled.sample(rows, known, "toxic", per_label).collect()]
     fitted = docs.sparkSession.sparkContext.broadcast(fit(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
