@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadpulse.llm import boosted_trees
@@ -501,8 +501,11 @@ def fit(pages: list[str]) -> boosted_trees.Trees | None:
 def main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """page_id, url, text and n_chars of every page; learns from a sample of the pages first."""
     rows = pages.select("page_id", "url", "html")
-    chosen = rows.where("length(html) > 0").orderBy(F.xxhash64("page_id", "url"), "page_id").select("html").limit(sample)
-    fitted = pages.sparkSession.sparkContext.broadcast(fit([r["html"] for r in chosen.collect()]))
+    # ids are ranked without their pages; equal pages have equal hashes and rank once
+    hashed = rows.select(F.xxhash64("page_id", "url").alias("hash"), "html")
+    ranked = hashed.select("hash", F.row_number().over(Window.orderBy("hash")).alias("rank")).where(f"rank <= {sample}")
+    chosen = hashed.join(F.broadcast(ranked.select("hash").distinct()), "hash", "left_semi").groupBy("hash").agg(F.min("html").alias("html"))
+    fitted = pages.sparkSession.sparkContext.broadcast(fit([r["html"] for r in chosen.orderBy("hash").collect() if r["html"]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = fitted.value
