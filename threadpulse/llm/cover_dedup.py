@@ -35,6 +35,8 @@ from threadpulse.llm import words as W
 SPAN = 20
 #: Difference cover of every residue modulo 13.
 PERIOD, COVER = 13, (0, 1, 3, 9)
+#: Bytes of text that are settled together before the shuffle.
+SLICE = 4 << 20
 ANCHOR = SPAN - PERIOD + 1
 
 
@@ -51,7 +53,7 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in W.slices(batches, "text"):
+    for batch in W.slices(batches, "text", SLICE):
         found, values, first = _words(batch)
         hashed = W.windows(values, ANCHOR)
         place = np.arange(len(hashed)) - first[found.text[: len(hashed)]]
@@ -78,7 +80,7 @@ def repeated_anchors(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in W.slices(batches, "text"):
+    for batch in W.slices(batches, "text", SLICE):
         found, values, first = _words(batch)
         one, two = W.windows(values, SPAN), W.windows(W.mix(values + np.uint64(1)), SPAN)
         n = len(one)
@@ -123,7 +125,7 @@ def _window_rows(one, two, doc, start, run) -> pa.RecordBatch:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in W.slices(batches, "text"):
+    for batch in W.slices(batches, "text", SLICE):
         rows = zip(batch.column("text").to_pylist(), batch.column("windows").to_pylist(), strict=True)
         n_words, n_removed, kept = [], [], []
         for text, windows in rows:
