@@ -179,3 +179,15 @@ def test_serialize_forms(spark):
     text = files.serialize(comments.drop("ts")).first()[0]
     assert text.startswith("Comment{articleID='") and "commentID=3" in text
     assert '"comment_id":3' in files.serialize(comments, "json").first()[0]
+
+
+def test_lines_that_could_break_the_parser(spark):
+    good = "1,aa,1,7,comment,1514764800,1,False,0,,4,S,na\u0003me,10,X"
+    wide = good + ",x" * 2_000_100
+    frame = spark.createDataFrame([(good,), (wide,), (None,)], "value string")
+    got = ingest.parse_lines(frame).select("comment_id", "user_display_name", "error").collect()
+    assert [tuple(r) for r in got] == [
+        (7, "na\u0003me", None),
+        (7, "na\u0003me", None),
+        (None, None, "invalid record"),
+    ]

@@ -132,12 +132,11 @@ def test_top_users_equal_batch(spark, folder, tmp_path):
                 stream_of(spark, folder),
                 f"{tmp_path}/credits",
                 f"{tmp_path}/cp1",
-                horizon="40 days",
                 salts=3,
             )
         )
         query = jobs.top_users(
-            spark, f"{tmp_path}/credits", DAY, f"{tmp_path}/out", f"{tmp_path}/cp2", max_files=1000
+            spark, f"{tmp_path}/credits", DAY, f"{tmp_path}/out", f"{tmp_path}/cp2"
         )
         finish(query)
     finally:
@@ -158,6 +157,46 @@ def test_top_users_equal_batch(spark, folder, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(want)
 
 
+def test_many_part_files_of_a_batch_lose_nothing(spark, comments, tmp_path):
+    """Credits of one micro-batch in more files than any cap, in no event-time order."""
+    from threadpulse.operators import threads
+    from threadpulse.operators.filters import valid_users
+
+    stored = threads.all_credits(valid_users(comments)).select("ts", "author", "cents", "level")
+    stored.repartition(1100, F.rand(3)).write.parquet(f"{tmp_path}/credits")
+    query = jobs.top_users(spark, f"{tmp_path}/credits", DAY, f"{tmp_path}/out", f"{tmp_path}/cp")
+    finish(query)
+    dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    assert dropped == 0
+    newest = stored.agg(F.unix_millis(F.max("ts"))).first()[0] - DELAY_MS
+    want = closed_only(top_users.top_users(comments, DAY), DAY, newest)
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(want)
+
+
+def test_old_and_redelivered_parent_gives_one_credit(spark, tmp_path):
+    """The parent is 60 days older than its reply, and delivered twice at different times."""
+    lines = [
+        "1,aa,1,1,comment,1514764800,1,False,0,,4,S,u,10,X",
+        "1,aa,1,1,comment,1514764830,1,False,0,,4,S,u,10,X",
+        "1,aa,1,2,userReply,1519948800,2,False,1,,0,S,u,11,X",
+    ]
+    inbox = str(tmp_path / "in")
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(inbox)
+    finish(jobs.resolve_credits(stream_of(spark, inbox), f"{tmp_path}/credits", f"{tmp_path}/cp"))
+    got = spark.read.schema(jobs.CREDITS_SCHEMA).parquet(f"{tmp_path}/credits")
+    assert got.where("level = 1").count() == 1
+
+
+def test_console_prints_every_window(spark, tmp_path, capsys):
+    lines = [f"1,aa,1,{i},comment,{1514764800 + 3600 * i},1,False,0,,4,S,u,10,X" for i in range(1, 1103)]
+    inbox = str(tmp_path / "in")
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(inbox)
+    from threadpulse.operators.windows import HOUR
+
+    finish(jobs.top_articles(stream_of(spark, inbox), HOUR, "", f"{tmp_path}/cp", sink="console"))
+    assert len(capsys.readouterr().out.strip().splitlines()) >= 1100
+
+
 def test_short_horizon_bounds_history(spark, tmp_path):
     """A reply 3 days after its parent is credited only if the horizon reaches that far."""
     lines = [

@@ -39,18 +39,13 @@ def use_utc(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors share one disk, may fall back to a
-    folder of its own.
+    The cluster names a shared folder in ``spark.checkpoint.dir``; where it does
+    not, the warehouse is one.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        import tempfile
-
-        shared = tempfile.mkdtemp(prefix="threadpulse-checkpoint-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     sc.setCheckpointDir(shared)

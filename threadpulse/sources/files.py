@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadpulse.schema import WIRE_COLUMNS
@@ -21,8 +21,17 @@ def read_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame
 
 
 def first_rows(comments: DataFrame, n: int) -> DataFrame:
-    """The first n comments in event order."""
-    return comments.orderBy("ts", "comment_id").limit(n)
+    """The first n comments in event order.
+
+    Counts per hour give the hour in which row n falls; only rows up to its end are read and ranked.
+    """
+    hour = F.date_trunc("hour", "ts")
+    counts = comments.groupBy(hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1))
+    needed = counts.withColumn("earlier", F.coalesce(earlier, F.lit(0))).where(F.col("earlier") < n)
+    end = needed.agg(F.max(F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("end")).scalar()
+    early = comments.where(F.col("ts").isNull() | (F.col("ts") < end))
+    return early.orderBy("ts", "comment_id").limit(n)
 
 
 # Labels of the debug text form and whether the value is quoted.

@@ -27,9 +27,9 @@ _CHECKED = {
     "recommendations": "recs",
     "user_id": "userid",
 }
-# Appended to each line as one more field.
-_END = "\u0003"
-_CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "null", "maxColumns": "2000000"}
+# A line counts up to this many commas; what comes after would only be extra fields.
+_MOST_PIECES = 1_000_000
+_CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "null", "maxColumns": str(_MOST_PIECES + 8)}
 
 _WIDE = {"approve_date", "create_date"}
 _IDS = {"comment_id", "in_reply_to", "user_id"}
@@ -51,22 +51,28 @@ def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def _end(line: Column) -> Column:
+    """Appended to a line as one more field: a hash of the line, which the line itself cannot hold."""
+    return F.concat(F.lit("\u0003"), F.md5(line))
+
+
 def _record(line: Column) -> Column:
     """The line as a struct of text fields, without a leading null column.
 
     The end mark shows up among the fields if the line has too few of them or
     leaves a quote open; extra fields are ignored.
     """
+    end = _end(line)
     shifted = F.when(line.startswith("null,"), F.substr(line, F.lit(6))).otherwise(line)
     schema = ", ".join(f"{c} string" for c in WIRE_COLUMNS)
-    return F.from_csv(F.concat(shifted, F.lit("," + _END)), F.lit(schema), _CSV_OPTIONS)
+    return F.from_csv(F.concat(F.substring_index(shifted, ",", _MOST_PIECES), F.lit(","), end), F.lit(schema), _CSV_OPTIONS)
 
 
 def _error(id_type: str) -> Column:
     value = F.col("value")
     has_url = value.contains("http:") | value.contains("https:")
-    too_short = F.concat_ws("", "rec.*").contains(_END)
-    reason = F.when(has_url, "http").when(too_short, INVALID_RECORD)
+    too_short = F.concat_ws("", "rec.*").contains(_end(value))
+    reason = F.when(value.isNull(), INVALID_RECORD).when(has_url, "http").when(too_short, INVALID_RECORD)
     for column, tag in _CHECKED.items():
         field = F.col(f"rec.{column}")
         label = F.lit(tag)

@@ -28,7 +28,14 @@ def lines_from_topic(
     return source.select(F.col("value").cast("string").alias("value"), "timestamp")
 
 
-def lines_from_folder(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
-    """Lines of text files as they appear in a folder."""
-    source = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+def lines_from_folder(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Lines of text files as they appear in a folder.
+
+    ``max_files`` limits the files of a trigger. Set it only if the files come in event-time order: else
+    the watermark of one trigger drops rows of the next as late.
+    """
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    source = reader.text(path)
     return source.withColumn("timestamp", F.current_timestamp())

@@ -1,8 +1,9 @@
-"""Reply credits on a stream: the thread joins with bounded history.
+"""Reply credits on a stream: the thread joins.
 
-A reply is matched to parents written at most ``horizon`` before it. Links leave
-the state after that, so its size follows the horizon and not the age of the
-stream. Matches are emitted in the batch in which the reply arrives.
+A link stays in state for good, as a reply may come at any time; a ``horizon``
+bounds that to parents written at most so long before their reply. Each id has one
+link: of several copies of a comment the one delivered first. Matches are emitted
+in the batch in which the reply arrives.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from pyspark.sql import functions as F
 from threadpulse.operators import threads
 from threadpulse.operators.filters import at_depth, valid_users
 
-DEFAULT_HORIZON = "7 days"
 DEFAULT_DELAY = "1 second"
 
 
 def _once(links: DataFrame) -> DataFrame:
-    """Drop redelivered copies: same id and event time. A later copy is late and dropped anyway."""
-    return links.dropDuplicates(["link_id", "link_ts"])
+    """One link per id, whatever the event times of its copies; the first delivered stays."""
+    return links.dropDuplicates(["link_id"])
 
 
 def _root_links(comments: DataFrame, delay: str) -> DataFrame:
@@ -32,25 +32,22 @@ def _root_links(comments: DataFrame, delay: str) -> DataFrame:
     return _once(links.withWatermark("link_ts", delay))
 
 
-def _match(replies: DataFrame, links: DataFrame, horizon: str, salts: int) -> DataFrame:
+def _match(replies: DataFrame, links: DataFrame, horizon: str | None, salts: int) -> DataFrame:
     """Replies joined to their parent; ``salts`` spreads a hot parent over that many tasks.
 
     Each reply goes to one salt, each link to all of them.
     """
     replies = replies.withColumn("salt", F.pmod(F.xxhash64("comment_id"), F.lit(salts)))
     links = links.withColumn("link_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    bound = f" AND link_ts >= ts - INTERVAL {horizon}" if horizon else ""
     return replies.join(
-        links,
-        F.expr(
-            f"""in_reply_to = link_id AND salt = link_salt
-            AND link_ts <= ts AND link_ts >= ts - INTERVAL {horizon}"""
-        ),
+        links, F.expr(f"in_reply_to = link_id AND salt = link_salt AND link_ts <= ts{bound}")
     )
 
 
 def credits(
     comments: DataFrame,
-    horizon: str = DEFAULT_HORIZON,
+    horizon: str | None = None,
     delay: str = DEFAULT_DELAY,
     salts: int = 4,
 ) -> DataFrame:

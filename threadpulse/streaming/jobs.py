@@ -22,7 +22,7 @@ from threadpulse.operators.windows import Span, label_window
 from threadpulse.plans import top_articles as articles_plan
 from threadpulse.plans import top_users as users_plan
 from threadpulse.sources.files import write_lines
-from threadpulse.streaming.credits import DEFAULT_DELAY, DEFAULT_HORIZON, credits
+from threadpulse.streaming.credits import DEFAULT_DELAY, credits
 
 # Keeps join and window state on local disk with an incremental log, off the heap.
 STATE_CONF = {
@@ -32,9 +32,6 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# The console is for watching; this many windows of one micro-batch are shown.
-CONSOLE_ROWS = 1000
-
 
 def use_disk_state(spark: SparkSession) -> None:
     for key, value in STATE_CONF.items():
@@ -53,7 +50,8 @@ def _start(
     """Write each micro-batch to a folder of its own, as rows or as result lines.
 
     A batch that is run again after a failure overwrites its folder, so the
-    output holds every window exactly once. The console sink shows the lines.
+    output holds every window exactly once. The console sink prints every line,
+    fetched one partition at a time.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -63,7 +61,8 @@ def _start(
         elif sink == "text":
             write_lines(lines(rows(batch)), folder)
         else:
-            lines(rows(batch)).orderBy("win_start_ms").show(n=CONSOLE_ROWS, truncate=False)
+            for row in lines(rows(batch)).orderBy("win_start_ms").toLocalIterator():
+                print(row["line"])
 
     writer = result.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
@@ -114,7 +113,7 @@ def resolve_credits(
     comments: DataFrame,
     path: str,
     checkpoint: str,
-    horizon: str = DEFAULT_HORIZON,
+    horizon: str | None = None,
     delay: str = DEFAULT_DELAY,
     salts: int = 4,
     available_now: bool = True,
@@ -122,8 +121,10 @@ def resolve_credits(
     """First half of the user ranking: append every credit to a table.
 
     The thread joins hold back the watermark by their horizon. Cutting the job
-    here lets the ranking follow the credits' own event time instead.
+    here lets the ranking follow the credits' own event time instead. Links stay
+    in state for good unless a horizon is set, so state is kept on disk.
     """
+    use_disk_state(comments.sparkSession)
     writer = (
         credits(comments, horizon, delay, salts)
         .writeStream.outputMode("append")
@@ -145,16 +146,16 @@ def top_users(
     checkpoint: str,
     delay: str = DEFAULT_DELAY,
     k: int = users_plan.TOP_USERS,
-    max_files: int = 1000,
     sink: str = "parquet",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Second half: score the credits per window and rank the closed windows."""
-    stored = (
-        spark.readStream.schema(CREDITS_SCHEMA)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(credits_path)
-    )
+    """Second half: score the credits per window and rank the closed windows.
+
+    The table of credits is committed by whole micro-batches, and a trigger takes all files that are there.
+    A cap on files would split a micro-batch, whose files are in no event-time order, and the watermark of
+    the first part would drop rows of the second.
+    """
+    stored = spark.readStream.schema(CREDITS_SCHEMA).parquet(credits_path)
     scored = label_window(threads.score(stored.withWatermark("ts", delay), span))
 
     def ranked(batch: DataFrame) -> DataFrame:
