@@ -469,7 +469,7 @@ def positions(pieces: DataFrame) -> DataFrame:
             columns += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["part", "block", "place", "doc_id", "continued", "n", "crc"])
 
-    joined = F.udf(lambda found: _joined_crc([(p["crc"], 4 * p["n"]) for p in sorted(found)]), "long")
+    joined = F.udf(lambda found: _joined_crc([(p["crc"], 4 * p["n"]) for p in found]), "long", useArrow=True)
     measured = pieces.mapInArrow(
         measure, "part int, block int, place int, doc_id long, continued boolean, n long, crc long"
     )
