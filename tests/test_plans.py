@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as contract
+from threadpulse.plans import catalogue as contract
 
 SF_DIR = "/root/testdata/sf0.001"
 

@@ -198,3 +198,21 @@ def test_group_of_copies_is_cut_too(spark):
     )
     sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 300
+
+
+def test_an_id_at_two_depths_credits_its_last_author_once(spark):
+    rows = [
+        (1, 10, "2018-01-01 00:00:00", "comment", 1, 0, 0, False),
+        (2, 11, "2018-01-01 00:01:00", "comment", 1, 0, 0, False),
+        (1, 12, "2018-01-01 00:02:00", "userReply", 2, 2, 0, False),
+        (5, 13, "2018-01-01 00:03:00", "userReply", 3, 1, 0, False),
+    ]
+    schema = (
+        "comment_id long, user_id long, ts string, comment_type string, depth int, in_reply_to long, "
+        "recommendations int, editors_selection boolean"
+    )
+    frame = spark.createDataFrame(rows, schema).selectExpr(
+        *("CAST(ts AS TIMESTAMP) AS ts" if c == "ts" else c for c in schema.replace(",", "").split()[::2])
+    )
+    got = threads.all_credits(frame).where("level = 2").select("author").collect()
+    assert sorted(r[0] for r in got) == [11, 12]

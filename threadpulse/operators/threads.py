@@ -24,16 +24,20 @@ def heavy_parents(comments: DataFrame, **options) -> list:
     return heavy_keys(comments.where("depth IN (2, 3)"), "in_reply_to", **options)
 
 
-def latest_links(comments: DataFrame) -> DataFrame:
-    """Depth-1 comment -> author; of several copies the last one in event time wins."""
+def _timed_links(comments: DataFrame) -> DataFrame:
     return (
         at_depth(comments, 1)
         .groupBy("comment_id")
         .agg(F.expr("max(struct(ts, user_id)) AS last"))
-        .selectExpr("comment_id AS link_id", "last.user_id AS link_user")
+        .selectExpr("comment_id AS link_id", "last.user_id AS link_user", "last.ts AS link_ts")
     )
 
 
+def latest_links(comments: DataFrame) -> DataFrame:
+    """Depth-1 comment -> author; of several copies the last one in event time wins."""
+    return _timed_links(comments).drop("link_ts")
+
+
 def _resolved_replies(comments: DataFrame, links: DataFrame, heavy: list | None) -> DataFrame:
     replies = at_depth(comments, 2).selectExpr("comment_id", "user_id", "in_reply_to", "ts")
     joined = lookup_join(replies, links, "in_reply_to", "link_id", heavy=heavy)
@@ -49,17 +53,28 @@ def _latest_reply_links(resolved: DataFrame) -> DataFrame:
     return (
         resolved.groupBy("comment_id")
         .agg(F.expr("max(struct(ts, user_id, root_user)) AS last"))
-        .selectExpr("comment_id AS link_id", "last.user_id AS link_user", "last.root_user AS root_user")
+        .selectExpr(
+            "comment_id AS link_id",
+            "last.user_id AS link_user",
+            "last.root_user AS root_user",
+            "last.ts AS link_ts",
+        )
     )
 
 
 def _known_comments(links: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Every comment a depth-3 reply can resolve to. A comment has one depth, so ids do not clash.
+    """Every comment a depth-3 reply can resolve to, once: of an id at two depths the last in event time.
 
-    Both sides are hash-partitioned by ``link_id`` already and stay so in the union.
+    ``links`` carry ``link_ts``. Both sides are hash-partitioned by ``link_id`` already and stay so in the
+    union, so the last aggregate needs no exchange.
     """
-    roots = links.selectExpr("*", "CAST(NULL AS BIGINT) AS root_user")
-    return roots.unionByName(_latest_reply_links(resolved))
+    roots = links.selectExpr("link_id", "link_user", "CAST(NULL AS BIGINT) AS root_user", "link_ts")
+    return (
+        roots.unionByName(_latest_reply_links(resolved))
+        .groupBy("link_id")
+        .agg(F.expr("max(struct(link_ts, link_user, root_user)) AS last"))
+        .selectExpr("link_id", "last.link_user AS link_user", "last.root_user AS root_user")
+    )
 
 
 def as_credits(df: DataFrame, author: str, level: int) -> DataFrame:
@@ -81,7 +96,7 @@ def credit_authors(resolved: DataFrame) -> DataFrame:
 
 def link_records(comments: DataFrame, heavy: list | None = None) -> DataFrame:
     """Known comments as text records: ``user`` for a root, ``user_root`` for a reply to one."""
-    links = latest_links(comments)
+    links = _timed_links(comments)
     known = _known_comments(links, _resolved_replies(comments, links, heavy))
     return known.selectExpr(
         "CAST(link_id AS STRING) AS key", "concat_ws('_', link_user, root_user) AS value"
@@ -119,7 +134,7 @@ def like_credits(comments: DataFrame) -> DataFrame:
 
 def reply_credits(comments: DataFrame, heavy: list | None = None) -> DataFrame:
     """Level 1: depth-2 replies. Level 2: depth-3 replies, whichever depth their parent has."""
-    links = latest_links(comments)
+    links = _timed_links(comments)
     resolved = _resolved_replies(comments, links, heavy)
     known = _known_comments(links, resolved)
     third = lookup_join(_third_level(comments), known, "in_reply_to", "link_id", heavy=heavy)
@@ -132,7 +147,7 @@ def all_credits(comments: DataFrame, heavy: list | None = None) -> DataFrame:
 
 def orphan_replies(comments: DataFrame, heavy: list | None = None) -> DataFrame:
     """Replies that resolve to no known parent."""
-    links = latest_links(comments)
+    links = _timed_links(comments)
     known = _known_comments(links, _resolved_replies(comments, links, heavy))
 
     def lost(depth: int, parents: DataFrame) -> DataFrame:
