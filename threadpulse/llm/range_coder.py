@@ -33,8 +33,8 @@ from threadpulse.llm import folders
 from threadpulse.llm import words as W
 
 MAGIC = b"TPR1"
-BLOCK_IDS = 16_384
-LANES = 128
+BLOCK_IDS = 8_192
+LANES = 512
 CACHED_WORDS, CACHED_LETTERS = 500_000, 64
 
 _HEAD = struct.Struct("<4sIIIII")
