@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from threadpulse.llm import words as W
 
 MARK = "▁"
-CACHED_WORDS, CACHED_LETTERS = 150_000, 64
+CACHED_WORDS, CACHED_LETTERS = 240_000, 64
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
