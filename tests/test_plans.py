@@ -16,8 +16,19 @@ def plan(df) -> str:
 # A whole-table minimum and maximum end in one task by definition; each task
 # sends one row. The row cap adds up its counts per hour, one row an hour.
 ONE_TASK = {"time_span", "scan_limit"}
-# The last rows of the ranges (at most one per shuffle partition) are ordered in one task.
-RANGES = {"interarrival_gap_stream"}
+# The last rows of the ranges (at most one per shuffle partition) are ordered in one task and broadcast.
+RANGES = {"interarrival_gap", "interarrival_gap_article", "interarrival_gap_stream"}
+# The parents of hot keys (under 100,000 whatever the input) are broadcast; all replies are summed for the limit.
+REPLIES = {
+    "reply_links",
+    "reply_credits_l1",
+    "reply_credits_l2",
+    "orphan_replies",
+    "link_records",
+    "reply_score_by_level",
+    "result_lines_users",
+    *(f"{q}_{w}" for q in ("top10_users", "user_score") for w in ("day", "week", "month")),
+}
 
 
 @pytest.fixture(scope="module")
@@ -33,9 +44,8 @@ def test_plan_is_distributed(big_joins, name):
     text = plan(contract.queries()[name](big_joins, SF_DIR))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas"):
         assert bad not in text
-    assert ("SinglePartition" in text) == (name in ONE_TASK | RANGES)
-    if name not in RANGES:
-        assert "BroadcastHashJoin" not in text
+    assert ("SinglePartition" in text) == (name in ONE_TASK | RANGES | REPLIES)
+    assert ("BroadcastHashJoin" in text) == (name in RANGES | REPLIES)
 
 
 @pytest.mark.parametrize("name", ["top3_articles_day", "top10_users_day"])
@@ -67,8 +77,6 @@ def test_scan_reads_only_what_it_needs(spark, name, columns):
         ("slots_day_origin", 1),
         ("slots_day_epoch", 2),
         ("latest_link", 1),
-        ("reply_links", 2),
-        ("interarrival_gap", 1),
         ("ingest_valid", 0),
         ("ingest_reject_counts", 1),
         ("csv_repair", 0),
@@ -79,6 +87,41 @@ def test_number_of_exchanges(big_joins, name, exchanges):
     assert text.count("Exchange hashpartitioning") == exchanges
 
 
+@pytest.fixture
+def fixed_plans(big_joins):
+    """Without adaptive execution a plan shows at once which exchanges are reused."""
+    big_joins.conf.set("spark.sql.adaptive.enabled", "false")
+    yield big_joins
+    big_joins.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize(
+    "name, scans, joins",
+    [("reply_links", 3, 2), ("reply_credits_l1", 3, 2), ("orphan_replies", 5, 5), ("user_score_day", 6, 5)],
+)
+def test_scans_and_joins_of_replies(fixed_plans, name, scans, joins):
+    """Counting the replies of each parent adds one scan; parents are exchanged once for both their joins.
+
+    Every second join here looks up the parents of the few hot keys.
+    """
+    text = plan(contract.queries()[name](fixed_plans, SF_DIR))
+    assert text.count("FileScan") == scans and text.count("SortMergeJoin") == joins
+
+
+@pytest.mark.parametrize("name", ["reply_links", "orphan_replies", "user_score_day"])
+def test_no_job_runs_while_a_reply_plan_is_built(spark, name):
+    contract.queries()[name](spark, SF_DIR)
+    context = spark.sparkContext
+    context.setJobGroup(f"build-{name}", "building")
+    try:
+        contract.views.load_comments(spark, SF_DIR)
+        reading = len(context.statusTracker().getJobIdsForGroup(f"build-{name}"))
+        contract.queries()[name](spark, SF_DIR)
+        assert len(context.statusTracker().getJobIdsForGroup(f"build-{name}")) == 2 * reading
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_links_keep_their_partitioning_through_the_union(big_joins):
     """Depth-3 replies join the union of both link sets without another exchange of it."""
     text = plan(contract.queries()["user_score_day"](big_joins, SF_DIR))

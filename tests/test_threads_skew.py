@@ -80,19 +80,23 @@ def tuples(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("heavy", [None, [1], [1, 2, -1, 12345]])
-def test_threads_equal_brute_force_on_every_route(comments, rows, heavy):
+# No parent is hot; the largest ones are; every parent of two replies is, known or not.
+LIMITS = [skew.ROWS_PER_TASK, 40, 1]
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_threads_equal_brute_force_at_every_limit(comments, rows, limit):
     roots, resolved, credits, orphans = expected(rows)
     assert tuples(threads.latest_links(comments)) == sorted(roots.items())
-    assert tuples(threads.reply_links(comments, heavy)) == sorted(resolved)
-    assert tuples(threads.orphan_replies(comments, heavy)) == sorted(orphans)
-    got = threads.all_credits(comments, heavy).groupBy("author").agg(F.sum("cents"))
+    assert tuples(threads.reply_links(comments, limit)) == sorted(resolved)
+    assert tuples(threads.orphan_replies(comments, limit)) == sorted(orphans)
+    got = threads.all_credits(comments, limit).groupBy("author").agg(F.sum("cents"))
     assert dict(map(tuple, got.collect())) == dict(credits)
-    by_kind = threads.credits_under_replies(comments, heavy).unionByName(
-        threads.credits_under_roots(comments, heavy)
+    by_kind = threads.credits_under_replies(comments, limit).unionByName(
+        threads.credits_under_roots(comments, limit)
     )
     assert tuples(by_kind) == tuples(
-        threads.reply_credits(comments, heavy).where("level = 2")
+        threads.reply_credits(comments, limit).where("level = 2")
     )
 
 
@@ -106,34 +110,46 @@ def test_link_records_round_trip(comments, rows):
     assert set(map(tuple, back.collect())) == {(c, u, None) for c, u in roots.items()} | set(resolved)
 
 
-def test_null_parents_are_orphans_on_every_route(spark):
-    rows = [(1, 5, START, "a", "c", 2, None, 0, False), (2, 5, START, "a", "c", 1, 0, 0, False)]
-    df = spark.createDataFrame(rows, COMMENTS)
-    for heavy in (None, [2]):
-        assert tuples(threads.orphan_replies(df, heavy)) == [(1, 2, None)]
-        assert threads.reply_links(df, heavy).count() == 0
+@pytest.mark.parametrize("limit", LIMITS)
+def test_null_parents_are_orphans(spark, limit):
+    rows = [(i, 5, START, "a", "c", 2 + i % 2, None, 0, False) for i in range(10, 30)]
+    df = spark.createDataFrame(rows + [(2, 5, START, "a", "c", 1, 0, 0, False)], COMMENTS)
+    want = [(i, 2 + i % 2, None) for i in range(10, 30)]
+    assert tuples(threads.orphan_replies(df, limit)) == want
+    assert threads.reply_links(df, limit).count() == 0
+
 
+def test_hot_parents_are_exact(comments, rows):
+    replies = Counter(p for _, _, _, d, p, _ in rows if d > 1)
+    assert {r[0] for r in threads.hot_parents(comments, 40).collect()} == {p for p, n in replies.items() if n > 40}
+    assert threads.hot_parents(comments).count() == 0
 
-def test_hot_parent_is_found(comments):
-    assert threads.heavy_parents(comments, fraction=1.0, rows_per_task=60)[0] in (1, 2)
-    assert threads.heavy_parents(comments) == []
 
+def test_hot_keys_skip_null_and_are_few(spark, monkeypatch):
+    df = spark.range(100).select(F.when(F.col("id") >= 10, F.col("id") % 3).alias("k"))
+    assert tuples(skew.hot_keys(df, "k", 29)) == [(0,), (1,), (2,)]
+    assert tuples(skew.hot_keys(df, "k", 30)) == []
+    monkeypatch.setattr(skew, "MIN_SHARE", 0.5)
+    assert tuples(skew.hot_keys(df, "k", 1)) == []
 
-def test_hot_replies_are_not_shuffled(spark, comments):
-    """The hot route is a broadcast join of at most as many rows as there are hot keys."""
+
+def test_hot_and_null_keys_are_dealt_over_all_tasks(spark):
+    """Equal rows under one hot parent, and rows without a parent, part as well."""
+    children = spark.range(0, 8000, 1, 40).selectExpr("if(id % 2 = 0, 1, NULL) AS p")
+    parents = spark.range(5).selectExpr("id AS link_id", "id * 10 AS link_user")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = threads.reply_links(comments, heavy=[1])
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+        hot = skew.hot_keys(children, "p", 100)
+        found = skew.lookup_join(children, parents, "p", "link_id", hot)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) < 2000
+        lost = skew.lookup_join(children, parents, "p", "link_id", hot, "left_anti")
+        sizes = [r["count"] for r in lost.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) < 2000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_heavy_keys_skip_null(spark):
-    df = spark.range(100).select(F.when(F.col("id") >= 10, F.lit(3)).alias("k"))
-    assert skew.heavy_keys(df, "k", fraction=1.0, rows_per_task=50) == [3]
-    assert skew.heavy_keys(df, "k", fraction=1.0, rows_per_task=90) == []
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 @pytest.fixture(scope="module")
@@ -159,10 +175,10 @@ def brute_gaps(rows, keyed=True):
     return out
 
 
-@pytest.mark.parametrize("heavy", [None, [], [7], [7, 60, None]])
-def test_gaps_equal_brute_force(timed, heavy):
+@pytest.mark.parametrize("slices", [1, 3, 8])
+def test_gaps_equal_brute_force(timed, slices):
     rows, df = timed
-    got = profile.interarrival_gaps(df, "user_id", heavy=heavy, slices=8)
+    got = profile.interarrival_gaps(df, "user_id", slices=slices)
     assert {r.comment_id: r.gap_seconds for r in got.collect()} == brute_gaps(rows)
 
 
@@ -173,11 +189,11 @@ def test_gaps_of_the_whole_sequence(timed, slices):
     assert {r.comment_id: r.gap_seconds for r in got.collect()} == brute_gaps(rows, keyed=False)
 
 
-def test_hot_user_is_cut_into_ranges(timed, monkeypatch):
-    rows, df = timed
-    monkeypatch.setattr(
-        profile, "heavy_keys", lambda d, k: skew.heavy_keys(d, k, fraction=1.0, rows_per_task=200)
-    )
+def test_large_null_group(timed, spark):
+    """Comments without a user are a sequence of their own, cut like any other."""
+    rows, _ = timed
+    rows = [(c, None if c % 4 else u, ts) for c, u, ts in rows]
+    df = spark.createDataFrame(rows, "comment_id long, user_id long, ts timestamp")
     got = profile.interarrival_gaps(df, "user_id", slices=8)
     assert {r.comment_id: r.gap_seconds for r in got.collect()} == brute_gaps(rows)
 
@@ -186,7 +202,7 @@ def test_group_of_copies_is_cut_too(spark):
     """Two thirds of the rows are copies of one row; no range may hold them all."""
     rows = [(5, 7, START)] * 600 + [(i, 7, START + timedelta(seconds=i - 300)) for i in range(10, 310)]
     df = spark.createDataFrame(rows, "comment_id long, user_id long, ts timestamp")
-    got = profile.interarrival_gaps(df, "user_id", heavy=[7], slices=9)
+    got = profile.interarrival_gaps(df, "user_id", slices=9)
     gaps = Counter((r.comment_id, r.gap_seconds) for r in got.collect())
     want, previous = Counter(), None
     for cid, _, ts in sorted(rows, key=lambda r: (r[2], r[0])):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadpulse.operators.skew import heavy_keys, is_heavy
 from threadpulse.session import ensure_checkpoint_dir
 
 # Fixed value: target length of a replay of the whole set, in seconds.
@@ -29,13 +28,8 @@ def _gap_seconds(previous_ts) -> F.Column:
     return (micros / 1_000_000).alias("gap_seconds")
 
 
-def _gaps_within_key(df: DataFrame, key: str) -> DataFrame:
-    previous = F.lag("ts").over(Window.partitionBy(key).orderBy("ts", "comment_id"))
-    return df.select(key, "comment_id", "ts", _gap_seconds(previous))
-
-
 def _gaps_by_range(df: DataFrame, key: str, slices: int) -> DataFrame:
-    """Gaps for keys too large for one task.
+    """Gaps within each key, of whatever size; NULL is a key like any other.
 
     The rows are cut into ranges of (key, ts, comment_id), whatever their
     distribution, and each range is one group of the window. Only the first row
@@ -67,25 +61,15 @@ def _gaps_by_range(df: DataFrame, key: str, slices: int) -> DataFrame:
 def interarrival_gaps(
     comments: DataFrame,
     key: str | None = "user_id",
-    heavy: list | None = None,
     slices: int | None = None,
 ) -> DataFrame:
     """Seconds since the previous comment of the same key; NULL for its first one.
 
     Order is event time, then comment id. ``key=None`` takes the whole set as one
-    sequence. ``heavy`` lists the keys that are cut into ranges; by default they
-    are found on a sample.
+    sequence. ``slices`` is the number of ranges.
     """
-    spark = comments.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or int(comments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if key is None:
         whole = comments.select(F.lit(0).alias("seq"), "comment_id", "ts")
         return _gaps_by_range(whole, "seq", slices).drop("seq")
-    rows = comments.select(key, "comment_id", "ts")
-    if heavy is None:
-        heavy = heavy_keys(rows, key)
-    if not heavy:
-        return _gaps_within_key(rows, key)
-    cold = _gaps_within_key(rows.where(~is_heavy(F.col(key), heavy)), key)
-    hot = _gaps_by_range(rows.where(is_heavy(F.col(key), heavy)), key, slices)
-    return cold.unionByName(hot)
+    return _gaps_by_range(comments.select(key, "comment_id", "ts"), key, slices)

@@ -1,51 +1,32 @@
-"""Keeping hot keys out of hash shuffles.
+"""Joins to unique parents that no hot or NULL key can unbalance.
 
-A key that holds a large share of the rows would land in one task. The helpers
-here find such keys on a sample and route their rows around the shuffle. The
-sample only decides the route: both routes are exact, so a key that is missed or
-wrongly picked changes the speed and never the result.
+A key with many rows would land in one task of a hash join. The helpers count the
+rows per key exactly, inside the same plan, and list the keys above what one task
+should take. Nothing is sampled and no job runs when the plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Sampled share of the rows, the row count a task should take, and the number of
-# keys worth a route of their own (any other key holds under 1/1000 of the rows).
-SAMPLE_FRACTION = 0.01
+# Rows of one key that a task should take at most.
 ROWS_PER_TASK = 2_000_000
-MAX_HEAVY_KEYS = 1000
+# A listed key holds more than this share of all rows, so there are fewer keys than its inverse.
+MIN_SHARE = 1 / 100_000
 
 
-def heavy_keys(
-    df: DataFrame,
-    key: str,
-    fraction: float = SAMPLE_FRACTION,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> list:
-    """Keys estimated to hold more rows than one task should take, heaviest first.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more rows than a task should take, as ``hot_key``; NULL is never listed.
 
-    The driver receives at most ``MAX_HEAVY_KEYS`` scalars.
+    The limit is ``rows_per_task``, or ``MIN_SHARE`` of all rows where that is more: then
+    fewer than ``1 / MIN_SHARE`` keys can exceed it, whatever the size of the input.
     """
-    sampled = df.select(key).where(F.col(key).isNotNull())
-    if fraction < 1.0:
-        sampled = sampled.sample(fraction, seed=17)
-    hits = max(int(rows_per_task * fraction), 1)
-    rows = (
-        sampled.groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > hits)
-        .orderBy(F.desc("n"), key)
-        .limit(MAX_HEAVY_KEYS)
-        .collect()
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    share = counts.agg((F.sum("n") * F.lit(MIN_SHARE)).alias("share")).scalar()
+    return counts.where(F.col("n") > F.greatest(F.lit(float(rows_per_task)), share)).select(
+        F.col(key).alias("hot_key")
     )
-    return [row[0] for row in rows]
-
-
-def is_heavy(key: Column, heavy: list) -> Column:
-    """Never NULL, so that ``~is_heavy`` keeps rows with a NULL key."""
-    return F.coalesce(key.isin(heavy), F.lit(False))
 
 
 def lookup_join(
@@ -53,21 +34,27 @@ def lookup_join(
     parents: DataFrame,
     child_key: str,
     parent_key: str,
+    hot: DataFrame,
     how: str = "inner",
-    heavy: list | None = None,
 ) -> DataFrame:
-    """Join children to parents that are unique per ``parent_key``.
+    """Join children to parents that are unique per ``parent_key``; ``how`` is inner or left_anti.
 
-    Children under a heavy key stay where they are: their parents number at most
-    ``len(heavy)`` rows and are broadcast. All other children shuffle by key.
+    Every child takes one shuffle join. Children of a listed key get their parent
+    from a broadcast of at most as many rows as ``hot`` has; they and children with
+    a NULL key are dealt over all tasks by a hash of the row and its input partition,
+    so that copies of a row part as well. What they meet in their task is ignored.
     """
-
-    def join(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.join(right, F.expr(f"{child_key} = {parent_key}"), how)
-
-    if not heavy:
-        return join(children, parents)
-    hot_parents = F.broadcast(parents.where(F.col(parent_key).isin(heavy)))
-    cold = join(children.where(~is_heavy(F.col(child_key), heavy)), parents)
-    hot = join(children.where(is_heavy(F.col(child_key), heavy)), hot_parents)
-    return cold.unionByName(hot)
+    listed = hot.join(parents, F.expr(f"hot_key = {parent_key}"), "left").select(
+        "hot_key", *(F.col(c).alias(f"hot_{c}") for c in parents.columns)
+    )
+    known = children.join(F.broadcast(listed), F.expr(f"{child_key} = hot_key"), "left")
+    apart = F.col("hot_key").isNotNull() | F.col(child_key).isNull()
+    spread = F.xxhash64(*children.columns, F.spark_partition_id())
+    routed = known.withColumn("route", F.when(apart, spread).otherwise(F.col(child_key)))
+    joined = routed.join(parents, F.expr(f"route = {parent_key}"), "left").select(
+        *children.columns,
+        *(F.when(apart, F.col(f"hot_{c}")).otherwise(F.col(c)).alias(c) for c in parents.columns),
+    )
+    if how == "left_anti":
+        return joined.where(F.col(parent_key).isNull()).select(*children.columns)
+    return joined.where(F.col(parent_key).isNotNull())

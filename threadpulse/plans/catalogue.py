@@ -35,12 +35,8 @@ def _over_comments(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(views.load_comments(spark, sf_dir))
 
 
-def _with_heavy(build: Callable[[DataFrame, list], DataFrame]) -> Query:
-    def run(comments: DataFrame) -> DataFrame:
-        valid = filters.valid_users(comments)
-        return build(valid, threads.heavy_parents(valid))
-
-    return _over_comments(run)
+def _over_valid(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return _over_comments(lambda c: build(filters.valid_users(c)))
 
 
 def _with_ms(df: DataFrame) -> DataFrame:
@@ -139,13 +135,13 @@ def queries() -> dict[str, Query]:
         lambda c: _bigint(top_users.reply_scores_by_level(c, DAY), "level")
     )
 
-    out["reply_links"] = _with_heavy(threads.reply_links)
-    out["reply_credits_l2"] = _with_heavy(lambda c, h: _credit_rows(threads.credits_under_replies(c, h)))
-    out["reply_credits_l1"] = _with_heavy(lambda c, h: _credit_rows(threads.credits_under_roots(c, h)))
-    out["orphan_replies"] = _with_heavy(lambda c, h: _bigint(threads.orphan_replies(c, h), "depth"))
-    out["latest_link"] = _over_comments(lambda c: threads.latest_links(filters.valid_users(c)))
+    out["reply_links"] = _over_valid(threads.reply_links)
+    out["reply_credits_l2"] = _over_valid(lambda c: _credit_rows(threads.credits_under_replies(c)))
+    out["reply_credits_l1"] = _over_valid(lambda c: _credit_rows(threads.credits_under_roots(c)))
+    out["orphan_replies"] = _over_valid(lambda c: _bigint(threads.orphan_replies(c), "depth"))
+    out["latest_link"] = _over_valid(threads.latest_links)
 
-    out["link_records"] = _with_heavy(threads.link_records)
+    out["link_records"] = _over_valid(threads.link_records)
 
     out["filter_valid"] = _filtered(filters.valid_users)
     out["filter_direct"] = _filtered(filters.direct_comments)

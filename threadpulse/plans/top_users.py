@@ -18,14 +18,12 @@ def like_scores(comments: DataFrame, span: Span) -> DataFrame:
 
 
 def reply_scores_by_level(comments: DataFrame, span: Span) -> DataFrame:
-    valid = valid_users(comments)
-    credits = threads.reply_credits(valid, threads.heavy_parents(valid))
+    credits = threads.reply_credits(valid_users(comments))
     return label_window(threads.score(credits, span, "level"))
 
 
 def scores(comments: DataFrame, span: Span) -> DataFrame:
-    valid = valid_users(comments)
-    credits = threads.all_credits(valid, threads.heavy_parents(valid))
+    credits = threads.all_credits(valid_users(comments))
     return label_window(threads.score(credits, span))
 
 
