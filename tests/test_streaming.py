@@ -187,6 +187,23 @@ def test_old_and_redelivered_parent_gives_one_credit(spark, tmp_path):
     assert got.where("level = 1").count() == 1
 
 
+def test_orphan_audit_equals_batch(spark, folder, tmp_path):
+    from threadpulse.operators import threads
+    from threadpulse.operators.filters import valid_users
+
+    valid = valid_users(batch_of(spark, folder))
+    replies = valid.where("depth > 1")
+    newest = replies.agg(F.unix_millis(F.max("ts"))).first()[0] - 2 * 3_600_000
+    want = threads.orphan_replies(valid).join(replies.select("comment_id", "ts"), "comment_id")
+    finish(jobs.audit_orphans(stream_of(spark, folder), f"{tmp_path}/lost", f"{tmp_path}/cp"))
+    got = spark.read.schema("comment_id bigint, depth int, in_reply_to bigint, ts timestamp").parquet(f"{tmp_path}/lost")
+    closed = F.unix_millis("ts") <= newest
+    columns = ["comment_id", "depth", "in_reply_to"]
+    assert got.join(want, "comment_id", "left_anti").count() == 0
+    assert {r.depth for r in want.where(closed).collect()} == {2, 3}
+    assert rows(got.where(closed).select(columns)) == rows(want.where(closed).select(columns))
+
+
 def test_console_prints_every_window(spark, tmp_path, capsys):
     lines = [f"1,aa,1,{i},comment,{1514764800 + 3600 * i},1,False,0,,4,S,u,10,X" for i in range(1, 1103)]
     inbox = str(tmp_path / "in")

@@ -32,7 +32,9 @@ def _root_links(comments: DataFrame, delay: str) -> DataFrame:
     return _once(links.withWatermark("link_ts", delay))
 
 
-def _match(replies: DataFrame, links: DataFrame, horizon: str | None, salts: int) -> DataFrame:
+def _match(
+    replies: DataFrame, links: DataFrame, horizon: str | None, salts: int, how: str = "inner"
+) -> DataFrame:
     """Replies joined to their parent; ``salts`` spreads a hot parent over that many tasks.
 
     Each reply goes to one salt, each link to all of them.
@@ -41,7 +43,17 @@ def _match(replies: DataFrame, links: DataFrame, horizon: str | None, salts: int
     links = links.withColumn("link_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     bound = f" AND link_ts >= ts - INTERVAL {horizon}" if horizon else ""
     return replies.join(
-        links, F.expr(f"in_reply_to = link_id AND salt = link_salt AND link_ts <= ts{bound}")
+        links, F.expr(f"in_reply_to = link_id AND salt = link_salt AND link_ts <= ts{bound}"), how
+    )
+
+
+def _resolved(second: DataFrame, roots: DataFrame, horizon: str | None, salts: int) -> DataFrame:
+    """Depth-2 replies under a known root, as links that depth-3 replies can name."""
+    return _match(second, roots, horizon, salts).select(
+        F.col("comment_id").alias("link_id"),
+        F.col("user_id").alias("link_user"),
+        F.col("link_user").alias("root_user"),
+        F.col("ts").alias("link_ts"),
     )
 
 
@@ -56,12 +68,7 @@ def credits(
     roots = _root_links(valid, delay)
 
     second = at_depth(valid, 2).select("comment_id", "user_id", "in_reply_to", "ts")
-    resolved = _match(second.withWatermark("ts", delay), roots, horizon, salts).select(
-        F.col("comment_id").alias("link_id"),
-        F.col("user_id").alias("link_user"),
-        F.col("link_user").alias("root_user"),
-        F.col("ts").alias("link_ts"),
-    )
+    resolved = _resolved(second.withWatermark("ts", delay), roots, horizon, salts)
     first_level = threads.as_credits(
         resolved.selectExpr("link_ts AS ts", "root_user"), "root_user", level=1
     )
@@ -72,3 +79,28 @@ def credits(
         _match(third, known, horizon, salts).select("ts", "link_user", "root_user")
     )
     return threads.like_credits(valid).unionByName(first_level).unionByName(second_level)
+
+
+def orphan_replies(
+    comments: DataFrame,
+    horizon: str | None = None,
+    delay: str = DEFAULT_DELAY,
+    salts: int = 4,
+) -> DataFrame:
+    """Streaming counterpart of ``operators.threads.orphan_replies``: replies that get no credit.
+
+    A reply is reported once the watermark has passed its event time, as until then its
+    parent, which is not younger, may still arrive.
+    """
+    valid = valid_users(comments)
+    roots = _root_links(valid, delay)
+    columns = ["comment_id", "depth", "user_id", "in_reply_to", "ts"]
+    second = at_depth(valid, 2).select(columns).withWatermark("ts", delay)
+    third = at_depth(valid, 3).select(columns).withWatermark("ts", delay)
+
+    def lost(replies: DataFrame, links: DataFrame) -> DataFrame:
+        matched = _match(replies, links, horizon, salts, "left_outer")
+        return matched.where("link_id IS NULL").select("comment_id", "depth", "in_reply_to", "ts")
+
+    known = roots.unionByName(_once(_resolved(second, roots, horizon, salts)))
+    return lost(second, roots).unionByName(lost(third, known))

@@ -22,7 +22,7 @@ from threadpulse.operators.windows import Span, label_window
 from threadpulse.plans import top_articles as articles_plan
 from threadpulse.plans import top_users as users_plan
 from threadpulse.sources.files import write_lines
-from threadpulse.streaming.credits import DEFAULT_DELAY, credits
+from threadpulse.streaming.credits import DEFAULT_DELAY, credits, orphan_replies
 
 # Keeps join and window state on local disk with an incremental log, off the heap.
 STATE_CONF = {
@@ -124,12 +124,25 @@ def resolve_credits(
     here lets the ranking follow the credits' own event time instead. Links stay
     in state for good unless a horizon is set, so state is kept on disk.
     """
-    use_disk_state(comments.sparkSession)
-    writer = (
-        credits(comments, horizon, delay, salts)
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
+    return _append(credits(comments, horizon, delay, salts), path, checkpoint, available_now)
+
+
+def audit_orphans(
+    comments: DataFrame,
+    path: str,
+    checkpoint: str,
+    horizon: str | None = None,
+    delay: str = DEFAULT_DELAY,
+    salts: int = 4,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Append every reply whose parent is unknown to a table."""
+    return _append(orphan_replies(comments, horizon, delay, salts), path, checkpoint, available_now)
+
+
+def _append(rows: DataFrame, path: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    use_disk_state(rows.sparkSession)
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.format("parquet").start(path)
