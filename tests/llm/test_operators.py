@@ -329,6 +329,23 @@ def test_pages(spark):
     assert html_trees.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<img alt=it's src=a.png><p>Two words.</p><p>Don't stop.</p><p>Four.", "Two words.\n\nDon't stop.\n\nFour."),
+        ('<img alt=5" src=a.png><p>One "quoted" word.</p>', 'One "quoted" word.'),
+        ('<a href="x"">A link</a><p>He said "no".</p>', 'A link\n\nHe said "no".'),
+        ('<a href="x"class="b>c">A</a><p title = \'1 > 0\'>B</p><p alt=a=">C</p><p title="d>D</p>', "A\n\nB\n\nC\n\nD"),
+        ("<p data-class=x aria-hidden=false title='hidden'>A</p><p hidden>B</p><p STYLE='display: none'>C</p>", "A"),
+        ("<svg width=5/><p>in it</p></svg><svg width=5 /><p>A</p>", "A"),
+        ("<p>A</p><p " + "a='b' c " * 20_000, "A"),
+    ],
+)
+def test_attributes_are_read_as_browsers_do(page, text):
+    assert html_trees.extract([page], None) == [text]
+
+
+
 def test_decoding_has_no_kept_child_of_a_dropped_parent():
     import numpy as np
 

@@ -2,6 +2,8 @@
 
 A page is read into a tree in the way browsers do for the cases that matter: void elements, raw text of
 scripts and styles, paragraphs and list items that end when the next begins, end tags without a beginning.
+In a tag a quote opens a value only after '=' and white space, a value without quotes runs to white space or
+'>', and other quotes are plain characters, as is one that the page never closes: no text after it is lost.
 Each element has features: density of text, links and tags in its subtree, tokens of its class, id and role,
 depth, place among its siblings and how they look, and what its ancestors are. Boosted trees give each
 element the log-odds that it holds main text.
@@ -40,12 +42,18 @@ from threadpulse.llm import words as W
 SAMPLE = 120
 VARIANTS = 5
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label|hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
+# An attribute: its name, and its value in double quotes, in single quotes or bare.
+_GAP = r"[\t\n\f\r ]"
+_PART = rf"([^\t\n\f\r />][^\t\n\f\r />=]*+)(?:{_GAP}*+={_GAP}*+(?:\"([^\"]*)\"|'([^']*)'|([^\t\n\f\r >\"'][^\t\n\f\r >]*+)))?+"
+_ATTRIBUTE = re.compile(_PART)
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\t\n\f\r />]*+)((?:{_GAP}|/|{_PART.replace('([', '(?:[')})*+)>|<[!?][^>]*>", re.DOTALL
+)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"[\s​﻿]+")
 
 # Fixed sets of HTML.
+READ = frozenset("class id role itemprop aria-label hidden style".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math select option datalist".split())
 UNSEEN = RAW | {"head", "button", "object", "audio", "video", "canvas"}
@@ -105,6 +113,8 @@ def _attributes(raw: str) -> tuple[frozenset[str], bool]:
     for name, *values in _ATTRIBUTE.findall(raw):
         value = "".join(values)
         name = name.lower()
+        if name not in READ:
+            continue
         if name == "hidden" or name == "style":
             hidden |= name == "hidden" or "display:none" in value.replace(" ", "").lower()
             continue
@@ -116,6 +126,11 @@ def _attributes(raw: str) -> tuple[frozenset[str], bool]:
     return frozenset(kinds), hidden
 
 
+def _ends_itself(raw: str) -> bool:
+    """Whether a tag ends in a slash that is no part of a bare value."""
+    return raw.endswith("/") and all(m.end() < len(raw) for m in _ATTRIBUTE.finditer(raw))
+
+
 def parse(page: str) -> Node:
     """The tree of a page; an element that never ends goes on to the end of its parent."""
     root = node = Node("body")
@@ -152,7 +167,7 @@ def parse(page: str) -> Node:
         kinds, hidden = _attributes(match[3]) if match[3] else (frozenset(), False)
         child = Node(tag, kinds, node, hidden)
         node.children.append(child)
-        if tag in VOID or match[3].endswith("/") and tag in ("svg", "math"):
+        if tag in VOID or tag in ("svg", "math") and _ends_itself(match[3]):
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>|\Z", re.IGNORECASE).search(page, at)
