@@ -17,6 +17,7 @@ from threadpulse.llm import (
     components,
     cover_dedup,
     html_trees,
+    labelled,
     merge_bpe,
     queries,
     range_coder,
@@ -368,3 +369,15 @@ def test_trees_learn_an_interaction():
 
 def test_tokenizers_come_by_path():
     assert public_tokenizers.path("word_bpe_49k.json") == queries.WORD_TOKENIZER
+
+
+def test_samples_hold_distinct_documents_with_text(spark):
+    rows = [(i, f"text {i}", i % 2) for i in range(200) for _ in range(5)] + [(7, "text 7", 1)] * 500
+    rows += [(i, None, i % 2) for i in range(200, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    got = labelled.sample(docs, docs, "label", 40).collect()
+    assert sorted(r["label"] for r in got) == [0] * 40 + [1] * 40
+    assert len({r["doc_id"] for r in got}) == 80 and all(r["text"] == f"text {r['doc_id']}" for r in got)
+    pages = docs.selectExpr("doc_id AS page_id", "'u' AS url", "coalesce(text, if(doc_id < 300, NULL, '')) AS html")
+    got = html_trees.sampled(pages, 60).collect()
+    assert len(got) == 60 == len({r["html"] for r in got})

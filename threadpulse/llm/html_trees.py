@@ -513,14 +513,21 @@ def fit(pages: list[str]) -> boosted_trees.Trees | None:
     return boosted_trees.fit(np.concatenate(x), np.concatenate([np.array(v, float) for v in y])) if x else None
 
 
+def sampled(pages: DataFrame, sample: int) -> DataFrame:
+    """hash and html of up to sample pages, those with the smallest hashes of page_id and url.
+
+    Hashes are ranked without their pages, and once each: copies of a page and empty pages take no place.
+    """
+    hashed = pages.where("html <> ''").select(F.xxhash64("page_id", "url").alias("hash"), "html")
+    ranked = hashed.select("hash").distinct().withColumn("rank", F.row_number().over(Window.orderBy("hash")))
+    chosen = F.broadcast(ranked.where(f"rank <= {sample}").select("hash"))
+    return hashed.join(chosen, "hash", "left_semi").groupBy("hash").agg(F.min("html").alias("html"))
+
+
 def main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """page_id, url, text and n_chars of every page; learns from a sample of the pages first."""
     rows = pages.select("page_id", "url", "html")
-    # ids are ranked without their pages; equal pages have equal hashes and rank once
-    hashed = rows.select(F.xxhash64("page_id", "url").alias("hash"), "html")
-    ranked = hashed.select("hash", F.row_number().over(Window.orderBy("hash")).alias("rank")).where(f"rank <= {sample}")
-    chosen = hashed.join(F.broadcast(ranked.select("hash").distinct()), "hash", "left_semi").groupBy("hash").agg(F.min("html").alias("html"))
-    fitted = pages.sparkSession.sparkContext.broadcast(fit([r["html"] for r in chosen.orderBy("hash").collect() if r["html"]]))
+    fitted = pages.sparkSession.sparkContext.broadcast(fit([r["html"] for r in sampled(rows, sample).orderBy("hash").collect()]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = fitted.value
