@@ -381,3 +381,50 @@ def test_samples_hold_distinct_documents_with_text(spark):
     pages = docs.selectExpr("doc_id AS page_id", "'u' AS url", "coalesce(text, if(doc_id < 300, NULL, '')) AS html")
     got = html_trees.sampled(pages, 60).collect()
     assert len(got) == 60 == len({r["html"] for r in got})
+
+
+def _coded(data, url=False):
+    return (base64.urlsafe_b64encode(data).rstrip(b"=") if url else base64.b64encode(data)).decode()
+
+
+def _der(size):
+    inside = b"\x02\x01\x00" + b"\x02\x02\x01\x01" * 5 + b"\x02\x82" + size.to_bytes(2, "big") + bytes(i * 7 % 251 for i in range(size))
+    return b"\x30\x82" + len(inside).to_bytes(2, "big") + inside
+
+
+@pytest.mark.parametrize("head", [b'{"alg":"HS256"}', b'{ "alg": "HS256" }', b'{\n"typ":"JWT","alg":"RS256"}'])
+@pytest.mark.parametrize("before", ["", "my_session.", "jwt-", "x_", "abc", "long-name-of-eyJ.ewxyz.", "eyJhbGciOiJ4In0", "a.bb." * 3])
+def test_tokens_behind_other_parts(head, before):
+    token = f"{_coded(head, True)}.{_coded(b'{}', True)}.{'s' * 20}"
+    text = f"see {before}{token}, and {before}{token}"
+    want = [(m.start(), m.end(), "token") for m in re.finditer(re.escape(token), text)]
+    assert secret_structure.structured_spans(text) == want
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n"])
+@pytest.mark.parametrize("size", [300, 301, 302, 323, 371])
+def test_wrapped_keys_without_marks(end, size):
+    code = _coded(_der(size))
+    for width in (64, 76):
+        wrapped = end.join(code[i : i + width] for i in range(0, len(code), width))
+        text = f"key: {wrapped}{end}Regards{end}{wrapped}{end}{wrapped}"
+        spans = secret_structure.structured_spans(text)
+        assert [text[a:b] for a, b, _ in spans] == [wrapped] * 3 and {k for *_, k in spans} == {"der"}
+        assert not secret_structure.structured_spans(text.replace("MII", "MIJ"))
+
+
+@pytest.mark.parametrize("end", ["\n", "\\n", " "])
+def test_pem_with_header_lines(end):
+    plain, cipher = _coded(_der(300)), _coded(bytes(i * 11 % 256 for i in range(320)))
+    for headers, body, found in [
+        (["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC," + "0AF3" * 8], cipher, True),
+        (["Proc-Type: 4,ENCRYPTED", "DEK-Info: DES-EDE3-CBC," + "0AF3" * 4], cipher, True),
+        (["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC," + "0AF3" * 8], cipher[:-5], False),
+        (["X-Key-Name: some-name"], plain, True),
+        ([], plain, True),
+        ([], cipher, False),
+    ]:
+        lines = [*headers, *[""] * bool(headers), *(body[i : i + 64] for i in range(0, len(body), 64))]
+        text = f"a -----BEGIN RSA PRIVATE KEY-----{end}{end.join(lines)}{end}-----END RSA PRIVATE KEY----- b"
+        spans = secret_structure.structured_spans(text)
+        assert spans == ([(2, len(text) - 2, "pem")] if found else [])

@@ -2,7 +2,9 @@
 
 Candidates in base64 or hex are decoded, and reported only if what they hold parses: a private key in
 DER (nested lengths that fit, the version first), an OpenSSH key (its magic and length-prefixed fields),
-or a signed token (a JSON header that names an algorithm, a JSON body, a signature).
+or a signed token (a JSON header that names an algorithm, a JSON body, a signature). A token's header may begin anywhere in a run
+of its letters. PEM blocks may hold header lines; an encrypted block is a key if they name the cipher and its
+whole blocks follow. A key in base64 may go over lines of equal width without PEM marks.
 
 Spans are code points of the text, end exclusive, sorted by start and then by the order of KINDS. The base
 spans never depend on what structure adds. NULL and empty texts have none. Rows are independent; other
@@ -34,8 +36,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]{16,})-----END \1-----")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]|-(?!----)){16,}+)-----END \1-----")
+_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:\s*\S+")
+_DEK = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,\s*((?:[0-9A-Fa-f]{16}){1,2})\b")
+_THREE_PARTS = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]{16,}+))")
+_OBJECT = re.compile(r'\{[ \t\r\n]*"(?=(?:[^"\\]|\\.)*+"[ \t\r\n]*:)')
+#: Lines of base64 in a row; the separator may be written as a backslash and an n.
+_LINES = re.compile(r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=\\)n)|(?<=\\n))[A-Za-z0-9+/_-]{20,}+(?:(?:[ \t]*\r?\n[ \t]*|(?:\\r)?\\n)[A-Za-z0-9+/_-]+)++={0,2}")
+_LINE = re.compile(r"(?:\\r)?\\n|([A-Za-z0-9+/_-]+={0,2})")
 _CODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEXED = re.compile(r"(?:[0-9a-f]{2}){32,}|(?:[0-9A-F]{2}){32,}")
 
@@ -130,6 +138,91 @@ def is_signed_token(head: str, body: str) -> bool:
     return isinstance(header, dict) and isinstance(claims, dict) and isinstance(header.get("alg"), str)
 
 
+_JSON = json.JSONDecoder()
+
+
+def is_encrypted_key(body: str, data: bytes) -> bool:
+    """Header lines that say so and name cipher and start vector, and whole cipher blocks."""
+    dek = _DEK.search(body)
+    return bool(dek and re.search(r"Proc-Type:\s*4,\s*ENCRYPTED", body) and len(data) >= 24 and len(data) % (len(dek[1]) // 2) == 0)
+
+
+def _is_pem_key(body: str) -> bool:
+    """Key or encrypted key in the body of a PEM block, whose header lines are left out."""
+    body = body.replace("\\r", "").replace("\\n", "\n")
+    lines = [x for x in body.split("\n") if ":" not in x]
+    # header lines as lines; in a block without line ends, as words
+    for text in ("".join(lines), _HEADER.sub("", body), " ".join(x for x in body.split() if ":" not in x)):
+        data = _decoded("".join(text.split()))
+        if is_der_key(data) or is_openssh_key(data) or is_encrypted_key(body, data):
+            return True
+    return False
+
+
+def _head_start(part: str, body: str) -> int | None:
+    """The first place in part from which on it is the header of a signed token with this body.
+
+    Places that differ by four letters decode to suffixes of one another, so four decodings serve all.
+    """
+    if part.startswith("e") and is_signed_token(part, body):
+        return 0
+    if "ey" not in part and "ew" not in part:
+        return None
+    found = []
+    for shift in range(4):
+        text = _decoded(part[shift:]).decode("latin-1")
+        for m in _OBJECT.finditer(text) if text.rstrip().endswith("}") else ():
+            if m.start() % 3 == 0:
+                try:
+                    end = _JSON.raw_decode(text, m.start())[1]
+                except (ValueError, RecursionError):
+                    continue
+                at = shift + m.start() // 3 * 4
+                if not text[end:].strip() and is_signed_token(part[at:], body):
+                    found.append(at)
+                    break
+    return min(found, default=None)
+
+
+def _tokens(text: str) -> list[tuple[int, int, str]]:
+    """Signed tokens, also behind other parts or letters that a token could begin with."""
+    found, at = [], 0
+    for m in _THREE_PARTS.finditer(text):
+        if m.start(1) >= at and (start := _head_start(m[1], m[2])) is not None:
+            at = m.end(3)
+            found.append((m.start(1) + start, at, "token"))
+    return found
+
+
+def _wrapped(text: str) -> list[tuple[int, int, str]]:
+    """Keys in base64 over lines of equal width, the last as long or shorter."""
+    found = []
+    for block in _LINES.finditer(text):
+        lines = [m.span(1) for m in _LINE.finditer(text, *block.span()) if m[1]]
+        first = 0
+        while first < len(lines):
+            a, b = lines[first]
+            first += 1
+            if b - a < 20 or not (text[a] == "M" or text.startswith("b3BlbnNzaC1rZXktdjE", a)):
+                continue
+            # a DER key says how many lines it has; an OpenSSH key has all of that width and perhaps a shorter one
+            outer = _element(_decoded(text[a : b - (b - a) % 4]), 0, 1 << 40)
+            letters = (4 * outer[2] + 2) // 3 if outer else 0
+            stop = min(first - 1 + (letters + b - a - 1) // (b - a), len(lines) + 1) if text[a] == "M" else len(lines)
+            last = first
+            while last < min(stop, len(lines)) and lines[last][1] - lines[last][0] == b - a:
+                last += 1
+            shorter = last < min(stop, len(lines)) and lines[last][1] - lines[last][0] < b - a
+            for end in (last + shorter, last):
+                if first < end and (text[a] != "M" or end == stop):
+                    data = _decoded("".join(text[c:d] for c, d in lines[first - 1 : end]))
+                    if is_der_key(data) or is_openssh_key(data):
+                        found.append((a, lines[end - 1][1], "der"))
+                        first = end
+                        break
+    return found
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     if ":" in text or "=" in text:
@@ -146,14 +239,12 @@ def structured_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            lines = [x for x in re.split(r"\s+", m[2].replace("\\n", "\n")) if x and ":" not in x]
-            data = _decoded("".join(lines))
-            if is_der_key(data) or is_openssh_key(data):
+            if _is_pem_key(m[2]):
                 found.append((m.start(), m.end(), "pem"))
     if "." in text:
-        for m in _TOKEN.finditer(text):
-            if m[1].startswith("e") and is_signed_token(m[1], m[2]):
-                found.append((m.start(), m.end(), "token"))
+        found += _tokens(text)
+    if "\n" in text or "\\n" in text:
+        found += [w for w in _wrapped(text) if not any(a <= w[0] < b for a, b, _ in found)]
     covered = list(found)
     for pattern, read in ((_CODED, _decoded), (_HEXED, _from_hex)):
         for m in pattern.finditer(text):
