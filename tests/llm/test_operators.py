@@ -428,3 +428,13 @@ def test_pem_with_header_lines(end):
         text = f"a -----BEGIN RSA PRIVATE KEY-----{end}{end.join(lines)}{end}-----END RSA PRIVATE KEY----- b"
         spans = secret_structure.structured_spans(text)
         assert spans == ([(2, len(text) - 2, "pem")] if found else [])
+
+
+def test_toxicity_learns_from_few_and_varied_labels():
+    clean = [f"The river {w} runs past quiet fields near town {i}." for i, w in enumerate(["Elbe", "Oder", "Saale", "Weser"] * 10)]
+    for insults in (["gromblat", "gromblat"], ["gromblat", "gromblatt", "grombblat", "gromblaat", "grromblat", "gromblatz"]):
+        texts = [(f"The river {x} runs past quiet fields.", 1) for x in insults] + [(t, 0) for t in clean]
+        scorer = string_kernel.Scorer(string_kernel.fit(texts))
+        toxic = scorer.score([f"Quiet fields near the river, {x}!" for x in ("gromblat", "gromblaht")])
+        assert min(toxic) > max(scorer.score(clean)) > 0
+    assert string_kernel.fit([("ab", 1), (clean[0], 0)]) is None is string_kernel.fit([("gromblat", 1), ("", 0)])

@@ -12,14 +12,18 @@ its document: a sentence is worth its most toxic word, and which word that is in
 anew in each round, from words that the sample's toxic documents favour. A document's score is a logistic
 function, fitted on the sample, of its TOP most toxic words.
 
-The sample is bounded (SAMPLE documents a label; whole texts) and fixed by a hash. Held-out rows and all
+Those are words that stand in MIN_TOXIC toxic documents of the sample or more and mostly there (TOXIC_SHARE).
+If no word does, they are the words of each toxic document with its highest share, smoothed.
+
+The sample is bounded (SAMPLE documents a label; whole texts) and fixed by a hash. The machine is trained on up
+to CLEAN_SENTENCES of its clean sentences, the logistic function on all of its texts. Held-out rows and all
 columns but the text are kept out of training and scoring.
 
 As the kernel is a sum over subsequences and the machine is linear in the landmarks, machine and landmarks
 together are one weight for each subsequence; scoring a word is a sum of those divided by its norm.
 
 Defined results: NULL, empty and letterless texts get the score of a text without a toxic word. If a label
-is missing from the sample every score is 0. Rows are independent.
+is missing from the sample, or its texts hold no word of three letters, every score is 0. Rows are independent.
 """
 
 from __future__ import annotations
@@ -126,7 +130,7 @@ def _word_values(words: list[str], model: Model) -> np.ndarray:
 
 
 def fit(texts: list[tuple[str, int]]) -> Model | None:
-    """A model from pairs of text and label; None if a label is missing."""
+    """A model from pairs of text and label; None if a label is missing or has no word of three letters."""
     if {y for _, y in texts} != {0, 1}:
         return None
     rng = np.random.default_rng(7)
@@ -145,10 +149,15 @@ def fit(texts: list[tuple[str, int]]) -> Model | None:
     share = {w: c / (c + scale * (in_all[w] - c)) for w, c in in_toxic.items() if c >= MIN_TOXIC}
     suspects = {w for w, s in share.items() if s >= TOXIC_SHARE}
     if not suspects:
-        return None
+        # few labels, or insults spelled in many ways: of each toxic document the words with its highest smoothed share
+        share = {w: c / (c + scale * (in_all[w] - c) + 1) for w, c in in_toxic.items()}
+        highest = [max((share[w] for w in own if y), default=0) for own, (_, y) in zip(of_text, texts, strict=True)]
+        suspects = {w for own, (_, y), top in zip(of_text, texts, highest, strict=True) if y for w in own if share[w] == top}
     toxic = [[w for w in words if w in suspects] for words, y, _ in found if y]
     toxic = [words for words in toxic if words]
     clean = [words for words, y, _ in found if not y and words]
+    if not toxic or not clean:
+        return None
     clean = [clean[i] for i in rng.permutation(len(clean))[:CLEAN_SENTENCES]]
     # each suspect also counts in forms with a letter inserted, which the machine is to tolerate
     forms = {w: [_inserted(w, rng) for _ in range(FORMS)] for w in sorted(suspects)}
