@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from threadpulse.llm import (
     bottom_k,
     cover_dedup,
+    edit_lattice,
     folders,
     html_trees,
+    level_products,
     merge_bpe,
+    quotient_dedup,
     range_coder,
     rule_ledger,
     secret_structure,
@@ -91,6 +94,19 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_structure.scan(table(spark, sf_dir, "documents")).drop("n_spans")
 
 
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotient_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return level_products.audit(table(spark, sf_dir, "documents"))
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = edit_lattice.damaged(table(spark, sf_dir, "conversations"))
+    return edit_lattice.audits(edit_lattice.repaired(rows, present="present"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": html_extraction,
@@ -103,4 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": sentencepiece,
         "op9_toxicity": toxicity,
         "op10_secret_scan": secret_scan,
+        "op11_exact_dedup": exact_dedup,
+        "op12_source_divergence": source_divergence,
+        "op13_conversation_repair": conversation_repair,
     }
