@@ -236,3 +236,49 @@ def test_short_horizon_bounds_history(spark, tmp_path):
         got = spark.read.schema(jobs.CREDITS_SCHEMA).parquet(f"{out}/data")
         assert got.where("level = 1").count() == level_one
         assert got.where("level = 0").count() == 1
+
+
+def test_ranking_in_the_plan_equals_batch(spark, folder, newest_ms, tmp_path):
+    """No ranking in foreachBatch, and at most a bucket's list per window in state."""
+    from threadpulse.streaming import ranking
+
+    try:
+        query = finish(
+            jobs.top_articles(stream_of(spark, folder), DAY, f"{tmp_path}/out", f"{tmp_path}/cp", rank="plan")
+        )
+        want = closed_only(top_articles.top_articles(batch_of(spark, folder), DAY), DAY, newest_ms)
+        assert want.count() > 60
+        assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(want)
+        # Operators are listed from the last to the first: merge, buckets, counts.
+        kept = [[op.numRowsTotal for op in p.stateOperators] for p in query.recentProgress]
+        assert all(len(k) == 3 for k in kept)
+        windows = want.select("win_start_ms").distinct().count() + 2
+        assert max(k[1] for k in kept) <= 2 * ranking.BUCKETS * windows  # a list and a timer each
+    finally:
+        for key in jobs.STATE_CONF:
+            spark.conf.unset(key)
+
+
+def test_ranking_in_the_plan_ties_nulls_and_few_keys(spark, tmp_path):
+    from threadpulse.operators.ranking import top_k
+    from threadpulse.operators.windows import HOUR, assign_window, label_window
+
+    data = [(f"2018-01-01 0{h}:{m:02d}:00", key) for h in range(3) for m, key in enumerate(["b", "a", None, "b", "c", "a"][: 6 - 2 * h])]
+    data += [("2018-01-02 00:00:00", "z"), ("2018-01-03 00:00:00", "z")]
+    frame = spark.createDataFrame(data, "ts string, name string").withColumn("ts", F.to_timestamp("ts"))
+    frame.coalesce(1).write.parquet(f"{tmp_path}/in")
+
+    def scored(df):
+        return assign_window(df, HOUR).groupBy("window", "name").agg(F.count("*").alias("n"))
+
+    stream = spark.readStream.schema(frame.schema).parquet(f"{tmp_path}/in").withWatermark("ts", "1 second")
+    try:
+        best = jobs.top_rows(scored(stream), HOUR, 2, "n", "name")
+        writer = best.writeStream.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True)
+        finish(writer.format("parquet").start(f"{tmp_path}/out"))
+    finally:
+        for key in jobs.STATE_CONF:
+            spark.conf.unset(key)
+    want = top_k(label_window(scored(frame)), 2, "n", "name").where("win_start_ms < 1514937600000")
+    assert repr(sorted(spark.read.parquet(f"{tmp_path}/out").collect(), key=repr)) == repr(sorted(want.collect(), key=repr))
+    assert want.where("name IS NULL").count() == 1

@@ -1,9 +1,12 @@
 """The three questions as streaming queries.
 
 Aggregates run in append mode: a window is emitted once, when the watermark has
-passed its end, with all its keys in the same micro-batch. Ranking therefore
-happens per micro-batch with the batch operators, which keep at most k rows per
-task and window; nothing gathers a whole window in one place.
+passed its end, with all its keys in the same micro-batch. Ranking happens in one
+of two ways with the same rows. ``rank="batch"`` ranks each micro-batch with the
+batch operators, all in the JVM. ``rank="plan"`` ranks in the plan of the stream
+(``streaming.ranking``), so that the result can feed any sink or another stream.
+Either keeps at most k rows per task or bucket and window; nothing gathers a
+whole window in one place.
 
 Rows are filtered before the watermark, so a rejected row cannot move it.
 """
@@ -23,6 +26,7 @@ from threadpulse.plans import top_articles as articles_plan
 from threadpulse.plans import top_users as users_plan
 from threadpulse.sources.files import write_lines
 from threadpulse.streaming.credits import DEFAULT_DELAY, credits, orphan_replies
+from threadpulse.streaming.ranking import best_per_window
 
 # Keeps join and window state on local disk with an incremental log, off the heap.
 STATE_CONF = {
@@ -79,14 +83,24 @@ def top_articles(
     k: int = articles_plan.TOP_ARTICLES,
     sink: str = "parquet",
     available_now: bool = True,
+    rank: str = "batch",
 ) -> StreamingQuery:
     timed = valid_users(comments).withWatermark("ts", delay)
-    counted = label_window(counts.article_counts(timed, span))
+    counted = counts.article_counts(timed, span)
+    if rank == "plan":
+        best = top_rows(counted, span, k, "n", "article_id")
+        return _start(best, path, checkpoint, lambda b: b, articles_plan.lines, sink, available_now)
 
     def ranked(batch: DataFrame) -> DataFrame:
         return articles_plan.ranking(batch, k)
 
-    return _start(counted, path, checkpoint, ranked, articles_plan.lines, sink, available_now)
+    return _start(label_window(counted), path, checkpoint, ranked, articles_plan.lines, sink, available_now)
+
+
+def top_rows(scored: DataFrame, span: Span, k: int, value: str, key: str) -> DataFrame:
+    """The k best keys of each closed window as a stream; their state is kept on disk."""
+    use_disk_state(scored.sparkSession)
+    return best_per_window(scored, span, k, value, key)
 
 
 def slots(
