@@ -16,16 +16,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadpulse.operators import counts, threads
+from threadpulse.operators import counts
 from threadpulse.operators.filters import direct_comments, valid_users
 from threadpulse.operators.ranking import pivot_lines
-from threadpulse.operators.windows import Span, label_window
+from threadpulse.operators.windows import Span, assign_window, label_window
 from threadpulse.plans import top_articles as articles_plan
 from threadpulse.plans import top_users as users_plan
 from threadpulse.sources.files import write_lines
-from threadpulse.streaming.credits import DEFAULT_DELAY, credits, orphan_replies
+from threadpulse.streaming.credits import DEFAULT_DELAY, DEFAULT_SALTS, credits, orphan_replies
 from threadpulse.streaming.ranking import best_per_window
 
 # Keeps join and window state on local disk with an incremental log, off the heap.
@@ -129,14 +130,15 @@ def resolve_credits(
     checkpoint: str,
     horizon: str | None = None,
     delay: str = DEFAULT_DELAY,
-    salts: int = 4,
+    salts: int = DEFAULT_SALTS,
     available_now: bool = True,
 ) -> StreamingQuery:
     """First half of the user ranking: append every credit to a table.
 
-    The thread joins hold back the watermark by their horizon. Cutting the job
-    here lets the ranking follow the credits' own event time instead. Links stay
-    in state for good unless a horizon is set, so state is kept on disk.
+    Cutting the job here lets the ranking follow the credits' own event time. A
+    credit that was given under an author whom a later copy of the parent
+    replaced is appended again with n = -1. Links and replies stay in state for
+    good unless a horizon is set, so state is kept on disk.
     """
     return _append(credits(comments, horizon, delay, salts), path, checkpoint, available_now)
 
@@ -147,10 +149,10 @@ def audit_orphans(
     checkpoint: str,
     horizon: str | None = None,
     delay: str = DEFAULT_DELAY,
-    salts: int = 4,
+    salts: int = DEFAULT_SALTS,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append every reply whose parent is unknown to a table."""
+    """Append every reply whose parent is unknown to a table, and once more with n = -1 when the parent comes."""
     return _append(orphan_replies(comments, horizon, delay, salts), path, checkpoint, available_now)
 
 
@@ -162,7 +164,7 @@ def _append(rows: DataFrame, path: str, checkpoint: str, available_now: bool) ->
     return writer.format("parquet").start(path)
 
 
-CREDITS_SCHEMA = "ts timestamp, author bigint, cents bigint, level int"
+CREDITS_SCHEMA = "ts timestamp, author bigint, cents bigint, level int, n bigint"
 
 
 def top_users(
@@ -175,17 +177,30 @@ def top_users(
     k: int = users_plan.TOP_USERS,
     sink: str = "parquet",
     available_now: bool = True,
+    rank: str = "batch",
 ) -> StreamingQuery:
     """Second half: score the credits per window and rank the closed windows.
 
     The table of credits is committed by whole micro-batches, and a trigger takes all files that are there.
     A cap on files would split a micro-batch, whose files are in no event-time order, and the watermark of
     the first part would drop rows of the second.
+
+    Credits taken back cancel their counterparts; an author whose credits are all taken back is not ranked. A
+    window that is closed stays as it was.
     """
     stored = spark.readStream.schema(CREDITS_SCHEMA).parquet(credits_path)
-    scored = label_window(threads.score(stored.withWatermark("ts", delay), span))
+    scored = net_scores(stored.withWatermark("ts", delay), span)
+    if rank == "plan":
+        best = top_rows(scored, span, k, "cents", "author")
+        return _start(best, path, checkpoint, lambda b: b, users_plan.lines, sink, available_now)
 
     def ranked(batch: DataFrame) -> DataFrame:
         return users_plan.ranking(batch, k)
 
-    return _start(scored, path, checkpoint, ranked, users_plan.lines, sink, available_now)
+    return _start(label_window(scored), path, checkpoint, ranked, users_plan.lines, sink, available_now)
+
+
+def net_scores(credits: DataFrame, span: Span) -> DataFrame:
+    """Cents per window and author who has credits left."""
+    scored = assign_window(credits, span).groupBy("window", "author")
+    return scored.agg(F.sum("cents").alias("cents"), F.sum("n").alias("n")).where("n > 0").drop("n")
