@@ -18,17 +18,6 @@ def plan(df) -> str:
 ONE_TASK = {"time_span", "scan_limit"}
 # The last rows of the ranges (at most one per shuffle partition) are ordered in one task and broadcast.
 RANGES = {"interarrival_gap", "interarrival_gap_article", "interarrival_gap_stream"}
-# The parents of hot keys (under 100,000 whatever the input) are broadcast; all replies are summed for the limit.
-REPLIES = {
-    "reply_links",
-    "reply_credits_l1",
-    "reply_credits_l2",
-    "orphan_replies",
-    "link_records",
-    "reply_score_by_level",
-    "result_lines_users",
-    *(f"{q}_{w}" for q in ("top10_users", "user_score") for w in ("day", "week", "month")),
-}
 
 
 @pytest.fixture(scope="module")
@@ -44,8 +33,8 @@ def test_plan_is_distributed(big_joins, name):
     text = plan(contract.queries()[name](big_joins, SF_DIR))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas"):
         assert bad not in text
-    assert ("SinglePartition" in text) == (name in ONE_TASK | RANGES | REPLIES)
-    assert ("BroadcastHashJoin" in text) == (name in RANGES | REPLIES)
+    assert ("SinglePartition" in text) == (name in ONE_TASK | RANGES)
+    assert ("BroadcastHashJoin" in text) == (name in RANGES)
 
 
 @pytest.mark.parametrize("name", ["top3_articles_day", "top10_users_day"])
@@ -97,13 +86,10 @@ def fixed_plans(big_joins):
 
 @pytest.mark.parametrize(
     "name, scans, joins",
-    [("reply_links", 3, 2), ("reply_credits_l1", 3, 2), ("orphan_replies", 5, 5), ("user_score_day", 6, 5)],
+    [("reply_links", 2, 1), ("reply_credits_l1", 2, 1), ("orphan_replies", 4, 3), ("user_score_day", 5, 3)],
 )
 def test_scans_and_joins_of_replies(fixed_plans, name, scans, joins):
-    """Counting the replies of each parent adds one scan; parents are exchanged once for both their joins.
-
-    Every second join here looks up the parents of the few hot keys.
-    """
+    """One join per depth of replies and kind of parent; the aggregate of the parents is exchanged once."""
     text = plan(contract.queries()[name](fixed_plans, SF_DIR))
     assert text.count("FileScan") == scans and text.count("SortMergeJoin") == joins
 
@@ -122,7 +108,8 @@ def test_no_job_runs_while_a_reply_plan_is_built(spark, name):
         context.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_links_keep_their_partitioning_through_the_union(big_joins):
-    """Depth-3 replies join the union of both link sets without another exchange of it."""
+def test_both_sides_of_a_reply_join_come_from_an_exchange(big_joins):
+    """So adaptive execution can part a hot parent; the union of both link sets is aggregated without another."""
     text = plan(contract.queries()["user_score_day"](big_joins, SF_DIR))
-    assert "Exchange hashpartitioning(link_id" not in text
+    assert text.count("SortMergeJoin") == text.count("Exchange hashpartitioning(link_id")
+    assert "Exchange hashpartitioning(comment_id" in text

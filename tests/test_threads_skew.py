@@ -80,24 +80,55 @@ def tuples(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-# No parent is hot; the largest ones are; every parent of two replies is, known or not.
-LIMITS = [skew.ROWS_PER_TASK, 40, 1]
+# Adaptive execution as it comes, and with every partition above a kilobyte taken for skewed.
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+}
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_threads_equal_brute_force_at_every_limit(comments, rows, limit):
+@pytest.fixture(params=[{}, SMALL], ids=["as it comes", "skewed"])
+def joins(spark, request):
+    for key, value in request.param.items():
+        spark.conf.set(key, value)
+    yield bool(request.param)
+    for key in request.param:
+        spark.conf.unset(key)
+
+
+def final_plan(df):
+    """The rows, and the plan after adaptive execution."""
+    found = tuples(df)
+    return found, df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_threads_equal_brute_force(joins, comments, rows):
     roots, resolved, credits, orphans = expected(rows)
     assert tuples(threads.latest_links(comments)) == sorted(roots.items())
-    assert tuples(threads.reply_links(comments, limit)) == sorted(resolved)
-    assert tuples(threads.orphan_replies(comments, limit)) == sorted(orphans)
-    got = threads.all_credits(comments, limit).groupBy("author").agg(F.sum("cents"))
+    assert tuples(threads.reply_links(comments)) == sorted(resolved)
+    assert tuples(threads.orphan_replies(comments)) == sorted(orphans)
+    got = threads.all_credits(comments).groupBy("author").agg(F.sum("cents"))
     assert dict(map(tuple, got.collect())) == dict(credits)
-    by_kind = threads.credits_under_replies(comments, limit).unionByName(
-        threads.credits_under_roots(comments, limit)
-    )
-    assert tuples(by_kind) == tuples(
-        threads.reply_credits(comments, limit).where("level = 2")
-    )
+    by_kind = threads.credits_under_replies(comments).unionByName(threads.credits_under_roots(comments))
+    assert tuples(by_kind) == tuples(threads.reply_credits(comments).where("level = 2"))
+
+
+@pytest.mark.parametrize("joins", [SMALL], indirect=True, ids=["skewed"])
+def test_hot_parents_are_parted(spark, joins):
+    """A third of all replies, many of them equal rows, hang under one root; adaptive execution parts them."""
+    reply = "CASE WHEN id % 3 = 0 THEN 1 ELSE 6000 + id % 500 END"
+    ids = spark.range(0, 60_000, 1, 12)
+    roots = ids.where("id < 7000").selectExpr("id AS comment_id", "id + 1 AS user_id", "1 AS depth", "0L AS in_reply_to")
+    second = ids.selectExpr("100000 + id % 40000 AS comment_id", "7L AS user_id", "2 AS depth", f"{reply} AS in_reply_to")
+    third = ids.selectExpr("200000 + id AS comment_id", "8L AS user_id", "3 AS depth", f"{reply} AS in_reply_to")
+    times = "TIMESTAMP '2018-01-01 00:00:00' AS ts"
+    comments = roots.unionByName(second).unionByName(third).selectExpr("*", times)
+    for build in (threads.reply_links, threads.credits_under_roots, threads.orphan_replies):
+        _, plan = final_plan(build(comments))
+        assert "SortMergeJoin(skew=true)" in plan
 
 
 def test_link_records_round_trip(comments, rows):
@@ -110,45 +141,28 @@ def test_link_records_round_trip(comments, rows):
     assert set(map(tuple, back.collect())) == {(c, u, None) for c, u in roots.items()} | set(resolved)
 
 
-@pytest.mark.parametrize("limit", LIMITS)
-def test_null_parents_are_orphans(spark, limit):
+def test_null_parents_are_orphans(spark, joins):
     rows = [(i, 5, START, "a", "c", 2 + i % 2, None, 0, False) for i in range(10, 30)]
     df = spark.createDataFrame(rows + [(2, 5, START, "a", "c", 1, 0, 0, False)], COMMENTS)
     want = [(i, 2 + i % 2, None) for i in range(10, 30)]
-    assert tuples(threads.orphan_replies(df, limit)) == want
-    assert threads.reply_links(df, limit).count() == 0
-
-
-def test_hot_parents_are_exact(comments, rows):
-    replies = Counter(p for _, _, _, d, p, _ in rows if d > 1)
-    assert {r[0] for r in threads.hot_parents(comments, 40).collect()} == {p for p, n in replies.items() if n > 40}
-    assert threads.hot_parents(comments).count() == 0
-
-
-def test_hot_keys_skip_null_and_are_few(spark, monkeypatch):
-    df = spark.range(100).select(F.when(F.col("id") >= 10, F.col("id") % 3).alias("k"))
-    assert tuples(skew.hot_keys(df, "k", 29)) == [(0,), (1,), (2,)]
-    assert tuples(skew.hot_keys(df, "k", 30)) == []
-    monkeypatch.setattr(skew, "MIN_SHARE", 0.5)
-    assert tuples(skew.hot_keys(df, "k", 1)) == []
+    assert tuples(threads.orphan_replies(df)) == want
+    assert threads.reply_links(df).count() == 0
 
 
-def test_hot_and_null_keys_are_dealt_over_all_tasks(spark):
+@pytest.mark.parametrize("joins", [SMALL], indirect=True, ids=["skewed"])
+def test_hot_and_null_keys_are_dealt_over_tasks(spark, joins):
     """Equal rows under one hot parent, and rows without a parent, part as well."""
-    children = spark.range(0, 8000, 1, 40).selectExpr("if(id % 2 = 0, 1, NULL) AS p")
-    parents = spark.range(5).selectExpr("id AS link_id", "id * 10 AS link_user")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        hot = skew.hot_keys(children, "p", 100)
-        found = skew.lookup_join(children, parents, "p", "link_id", hot)
-        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        children = spark.range(0, 8000, 1, 40).selectExpr("if(id % 2 = 0, 1, NULL) AS p", "repeat('x', 50) AS t")
+        parents = spark.range(5).groupBy("id").count().selectExpr("id AS link_id", "count AS link_user")
+        found = skew.lookup_join(children, parents, "p", "link_id")
+        sizes = [len(part) for part in found.select("p").rdd.glom().collect()]
         assert sum(sizes) == 4000 and max(sizes) < 2000
-        lost = skew.lookup_join(children, parents, "p", "link_id", hot, "left_anti")
-        sizes = [r["count"] for r in lost.groupBy(F.spark_partition_id()).count().collect()]
+        lost = skew.lookup_join(children, parents, "p", "link_id", "left_anti")
+        sizes = [len(part) for part in lost.select("p").rdd.glom().collect()]
         assert sum(sizes) == 4000 and max(sizes) < 2000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 

@@ -1,60 +1,19 @@
-"""Joins to unique parents that no hot or NULL key can unbalance.
-
-A key with many rows would land in one task of a hash join. The helpers count the
-rows per key exactly, inside the same plan, and list the keys above what one task
-should take. Nothing is sampled and no job runs when the plan is built.
-"""
+"""Joins to unique parents that no hot or NULL key can unbalance."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a task should take at most.
-ROWS_PER_TASK = 2_000_000
-# A listed key holds more than this share of all rows, so there are fewer keys than its inverse.
-MIN_SHARE = 1 / 100_000
-
-
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more rows than a task should take, as ``hot_key``; NULL is never listed.
-
-    The limit is ``rows_per_task``, or ``MIN_SHARE`` of all rows where that is more: then
-    fewer than ``1 / MIN_SHARE`` keys can exceed it, whatever the size of the input.
-    """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    share = counts.agg((F.sum("n") * F.lit(MIN_SHARE)).alias("share")).scalar()
-    return counts.where(F.col("n") > F.greatest(F.lit(float(rows_per_task)), share)).select(
-        F.col(key).alias("hot_key")
-    )
-
 
 def lookup_join(
-    children: DataFrame,
-    parents: DataFrame,
-    child_key: str,
-    parent_key: str,
-    hot: DataFrame,
-    how: str = "inner",
+    children: DataFrame, parents: DataFrame, child_key: str, parent_key: str, how: str = "inner"
 ) -> DataFrame:
     """Join children to parents that are unique per ``parent_key``; ``how`` is inner or left_anti.
 
-    Every child takes one shuffle join. Children of a listed key get their parent
-    from a broadcast of at most as many rows as ``hot`` has; they and children with
-    a NULL key are dealt over all tasks by a hash of the row and its input partition,
-    so that copies of a row part as well. What they meet in their task is ignored.
+    Children under a hot key, or without one, are parted by adaptive execution, which can do so only where both
+    sides of the join come straight from an exchange. Parents come from an aggregate, whose partitioning the join
+    would take over; under a computed key they get an exchange of their own (two or three numbers a row).
     """
-    listed = hot.join(parents, F.expr(f"hot_key = {parent_key}"), "left").select(
-        "hot_key", *(F.col(c).alias(f"hot_{c}") for c in parents.columns)
-    )
-    known = children.join(F.broadcast(listed), F.expr(f"{child_key} = hot_key"), "left")
-    apart = F.col("hot_key").isNotNull() | F.col(child_key).isNull()
-    spread = F.xxhash64(*children.columns, F.spark_partition_id())
-    routed = known.withColumn("route", F.when(apart, spread).otherwise(F.col(child_key)))
-    joined = routed.join(parents, F.expr(f"route = {parent_key}"), "left").select(
-        *children.columns,
-        *(F.when(apart, F.col(f"hot_{c}")).otherwise(F.col(c)).alias(c) for c in parents.columns),
-    )
-    if how == "left_anti":
-        return joined.where(F.col(parent_key).isNull()).select(*children.columns)
-    return joined.where(F.col(parent_key).isNotNull())
+    keyed = parents.withColumn(parent_key, F.col(parent_key).bitwiseXOR(F.lit(0)))
+    return children.join(keyed, F.expr(f"{child_key} = {parent_key}"), how)

@@ -5,8 +5,7 @@ depth-1 parent. A depth-3 reply credits the author of its depth-2 parent and of
 that parent's root; if it hangs directly under a depth-1 comment it credits that
 author alone. A reply whose parent is unknown credits nobody.
 
-Inputs are comments of valid users. ``rows_per_task`` is the number of replies above
-which a parent counts as hot (see ``skew``); it changes the speed and never the result.
+Inputs are comments of valid users. A parent may have any share of all replies (see ``skew``).
 """
 
 from __future__ import annotations
@@ -16,15 +15,10 @@ from pyspark.sql import functions as F
 
 from threadpulse.functions.scores import LIKE_CENTS_SQL, REPLY_CENTS
 from threadpulse.operators.filters import at_depth
-from threadpulse.operators.skew import ROWS_PER_TASK, hot_keys, lookup_join
+from threadpulse.operators.skew import lookup_join
 from threadpulse.operators.windows import Span, assign_window
 
 
-def hot_parents(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Parents with more replies than one task should take."""
-    return hot_keys(comments.where("depth IN (2, 3)"), "in_reply_to", rows_per_task)
-
-
 def _timed_links(comments: DataFrame) -> DataFrame:
     return (
         at_depth(comments, 1)
@@ -39,16 +33,15 @@ def latest_links(comments: DataFrame) -> DataFrame:
     return _timed_links(comments).drop("link_ts")
 
 
-def _resolved_replies(comments: DataFrame, links: DataFrame, hot: DataFrame) -> DataFrame:
+def _resolved_replies(comments: DataFrame, links: DataFrame) -> DataFrame:
     replies = at_depth(comments, 2).selectExpr("comment_id", "user_id", "in_reply_to", "ts")
-    joined = lookup_join(replies, links, "in_reply_to", "link_id", hot)
+    joined = lookup_join(replies, links, "in_reply_to", "link_id")
     return joined.selectExpr("comment_id", "user_id", "link_user AS root_user", "ts")
 
 
-def reply_links(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def reply_links(comments: DataFrame) -> DataFrame:
     """Depth-2 comment, its author and the author of the thread's root."""
-    hot = hot_parents(comments, rows_per_task)
-    return _resolved_replies(comments, latest_links(comments), hot).drop("ts")
+    return _resolved_replies(comments, latest_links(comments)).drop("ts")
 
 
 def _latest_reply_links(resolved: DataFrame) -> DataFrame:
@@ -68,7 +61,7 @@ def _known_comments(links: DataFrame, resolved: DataFrame) -> DataFrame:
     """Every comment a depth-3 reply can resolve to, once: of an id at two depths the last in event time.
 
     ``links`` carry ``link_ts``. Both sides are hash-partitioned by ``link_id`` already and stay so in the
-    union, so the last aggregate needs no exchange.
+    union, so the last aggregate needs no exchange; only the join to it does.
     """
     roots = links.selectExpr("link_id", "link_user", "CAST(NULL AS BIGINT) AS root_user", "link_ts")
     return (
@@ -96,11 +89,10 @@ def credit_authors(resolved: DataFrame) -> DataFrame:
     return as_credits(known, "author", 2)
 
 
-def link_records(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def link_records(comments: DataFrame) -> DataFrame:
     """Known comments as text records: ``user`` for a root, ``user_root`` for a reply to one."""
     links = _timed_links(comments)
-    hot = hot_parents(comments, rows_per_task)
-    known = _known_comments(links, _resolved_replies(comments, links, hot))
+    known = _known_comments(links, _resolved_replies(comments, links))
     return known.selectExpr(
         "CAST(link_id AS STRING) AS key", "concat_ws('_', link_user, root_user) AS value"
     )
@@ -115,19 +107,17 @@ def links_from_records(records: DataFrame) -> DataFrame:
     )
 
 
-def credits_under_replies(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def credits_under_replies(comments: DataFrame) -> DataFrame:
     """Only depth-3 replies to a depth-2 comment: two credits each."""
-    hot = hot_parents(comments, rows_per_task)
-    parents = _latest_reply_links(_resolved_replies(comments, latest_links(comments), hot))
+    parents = _latest_reply_links(_resolved_replies(comments, latest_links(comments)))
     replies = _third_level(comments)
-    return credit_authors(lookup_join(replies, parents, "in_reply_to", "link_id", hot))
+    return credit_authors(lookup_join(replies, parents, "in_reply_to", "link_id"))
 
 
-def credits_under_roots(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def credits_under_roots(comments: DataFrame) -> DataFrame:
     """Only depth-3 replies to a depth-1 comment: one credit each."""
     replies = _third_level(comments)
-    hot = hot_parents(comments, rows_per_task)
-    joined = lookup_join(replies, latest_links(comments), "in_reply_to", "link_id", hot)
+    joined = lookup_join(replies, latest_links(comments), "in_reply_to", "link_id")
     return as_credits(joined, "link_user", 2)
 
 
@@ -137,29 +127,27 @@ def like_credits(comments: DataFrame) -> DataFrame:
     )
 
 
-def reply_credits(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def reply_credits(comments: DataFrame) -> DataFrame:
     """Level 1: depth-2 replies. Level 2: depth-3 replies, whichever depth their parent has."""
     links = _timed_links(comments)
-    hot = hot_parents(comments, rows_per_task)
-    resolved = _resolved_replies(comments, links, hot)
+    resolved = _resolved_replies(comments, links)
     known = _known_comments(links, resolved)
-    third = lookup_join(_third_level(comments), known, "in_reply_to", "link_id", hot)
+    third = lookup_join(_third_level(comments), known, "in_reply_to", "link_id")
     return as_credits(resolved, "root_user", 1).unionByName(credit_authors(third))
 
 
-def all_credits(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return like_credits(comments).unionByName(reply_credits(comments, rows_per_task))
+def all_credits(comments: DataFrame) -> DataFrame:
+    return like_credits(comments).unionByName(reply_credits(comments))
 
 
-def orphan_replies(comments: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def orphan_replies(comments: DataFrame) -> DataFrame:
     """Replies that resolve to no known parent."""
     links = _timed_links(comments)
-    hot = hot_parents(comments, rows_per_task)
-    known = _known_comments(links, _resolved_replies(comments, links, hot))
+    known = _known_comments(links, _resolved_replies(comments, links))
 
     def lost(depth: int, parents: DataFrame) -> DataFrame:
         replies = at_depth(comments, depth).selectExpr("comment_id", "depth", "in_reply_to")
-        return lookup_join(replies, parents, "in_reply_to", "link_id", hot, "left_anti")
+        return lookup_join(replies, parents, "in_reply_to", "link_id", "left_anti")
 
     return lost(2, links).unionByName(lost(3, known))
 
