@@ -191,3 +191,29 @@ def test_lines_that_could_break_the_parser(spark):
         (7, "na\u0003me", None),
         (None, None, "invalid record"),
     ]
+
+
+@pytest.mark.parametrize("commas", [30, 1_000_100])
+def test_commas_inside_quotes_have_no_limit(spark, commas):
+    name = '"Lee' + "," * commas + ' ""Ann"" x"'
+    good, shifted, bare, extra = parse(
+        spark,
+        line(user_display_name=name),
+        "null," + line(parent_user_display_name=name, user_location='"Rome, IT"'),
+        line(user_display_name=name.replace('"', "")),  # bare commas shift the columns behind them
+        line() + "," * commas,
+    )
+    assert good["error"] is None and good["user_id"] == 77 and good["user_location"] == "Oslo"
+    assert good["user_display_name"] == "Lee" + "," * commas + ' "Ann" x'
+    assert shifted["error"] is None and shifted["user_location"] == "Rome - IT"
+    assert len(shifted["parent_user_display_name"]) == commas + len('Lee "Ann" x')
+    assert bare["error"] is not None
+    assert extra["error"] is None and extra["user_location"] == "Oslo"
+    (cut,) = parse(spark, line(user_display_name='"Lee' + "," * commas))
+    assert cut["error"] == "invalid record"
+
+
+def test_long_fields_and_few_columns(spark):
+    short, long = parse(spark, ",".join(GOOD[:9]) + "y" * 1_200_000, line(section_name="s" * 1_200_000))
+    assert short["error"] == "invalid record"
+    assert long["error"] is None and len(long["section_name"]) == 1_200_000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Runtime-settable defaults. Shuffle partitions are left to the deployment: the
@@ -49,3 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared is None:
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     sc.setCheckpointDir(shared)
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new path that the driver and all executors see, beside the checkpoints."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -27,9 +27,12 @@ _CHECKED = {
     "recommendations": "recs",
     "user_id": "userid",
 }
-# A line counts up to this many commas; what comes after would only be extra fields.
+# Fields the CSV reader has room for. Longer lines, and only those can have more, are cut to their first fields.
 _MOST_PIECES = 1_000_000
 _CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "null", "maxColumns": str(_MOST_PIECES + 8)}
+# All wire columns, a leading null column and one extra field. A quoted field may hold commas and doubled quotes.
+# Every repetition is possessive, so that the match is one pass of any length.
+_FIRST_FIELDS = r'^(?s:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)(?:,|\z)){0,%d}+' % (len(WIRE_COLUMNS) + 2)
 
 _WIDE = {"approve_date", "create_date"}
 _IDS = {"comment_id", "in_reply_to", "user_id"}
@@ -64,8 +67,10 @@ def _record(line: Column) -> Column:
     """
     end = _end(line)
     shifted = F.when(line.startswith("null,"), F.substr(line, F.lit(6))).otherwise(line)
+    fits = F.length(shifted) <= _MOST_PIECES
+    fields = F.when(fits, shifted).otherwise(F.regexp_extract(shifted, _FIRST_FIELDS, 0))
     schema = ", ".join(f"{c} string" for c in WIRE_COLUMNS)
-    return F.from_csv(F.concat(F.substring_index(shifted, ",", _MOST_PIECES), F.lit(","), end), F.lit(schema), _CSV_OPTIONS)
+    return F.from_csv(F.concat(fields, F.lit(","), end), F.lit(schema), _CSV_OPTIONS)
 
 
 def _error(id_type: str) -> Column:

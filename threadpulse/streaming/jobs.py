@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from threadpulse.operators import counts
+from threadpulse.operators import counts, profile
 from threadpulse.operators.filters import direct_comments, valid_users
 from threadpulse.operators.ranking import pivot_lines
 from threadpulse.operators.windows import Span, assign_window, label_window
@@ -27,6 +27,7 @@ from threadpulse.plans import top_articles as articles_plan
 from threadpulse.plans import top_users as users_plan
 from threadpulse.sources.files import write_lines
 from threadpulse.streaming.credits import DEFAULT_DELAY, DEFAULT_SALTS, credits, orphan_replies
+from threadpulse.streaming.gaps import interarrival_gaps
 from threadpulse.streaming.ranking import best_per_window
 
 # Keeps join and window state on local disk with an incremental log, off the heap.
@@ -204,3 +205,38 @@ def net_scores(credits: DataFrame, span: Span) -> DataFrame:
     """Cents per window and author who has credits left."""
     scored = assign_window(credits, span).groupBy("window", "author")
     return scored.agg(F.sum("cents").alias("cents"), F.sum("n").alias("n")).where("n > 0").drop("n")
+
+
+def gaps(
+    comments: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str = "user_id",
+    delay: str = DEFAULT_DELAY,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Append each comment with the seconds since the one before it of the same key, once the watermark has passed."""
+    return _append(interarrival_gaps(comments.withWatermark("ts", delay), key), path, checkpoint, available_now)
+
+
+def time_span(comments: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Keep the time span of all rows so far: one row of state, and a folder for each trigger that changed it.
+
+    A trigger that runs again replaces its folder; ``latest_time_span`` reads the newest.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    use_disk_state(comments.sparkSession)
+    writer = profile.time_span(comments).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(write).start()
+
+
+def latest_time_span(spark: SparkSession, path: str) -> DataFrame:
+    """The span after the last trigger."""
+    spans = spark.read.parquet(path)
+    newest = spans.agg(F.max("batch").alias("batch")).scalar()
+    return spans.where(F.col("batch") == newest).drop("batch")
