@@ -14,8 +14,8 @@ def plan(df) -> str:
 
 
 # A whole-table minimum and maximum end in one task by definition; each task
-# sends one row. The row cap adds up its counts per hour, one row an hour.
-ONE_TASK = {"time_span", "scan_limit"}
+# sends one row. The row cap adds up its counts per hour or day, one row each.
+ONE_TASK = {"time_span", "scan_limit", "scan_limit_days"}
 # The last rows of the ranges (at most one per shuffle partition) are ordered in one task and broadcast.
 RANGES = {"interarrival_gap", "interarrival_gap_article", "interarrival_gap_stream"}
 

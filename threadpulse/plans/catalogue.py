@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from threadpulse.functions import time as tf
 from threadpulse.functions.text import is_integer
-from threadpulse.operators import filters, profile, threads
+from threadpulse.operators import counts, filters, profile, threads
 from threadpulse.operators.ranking import pivot_lines
 from threadpulse.operators.windows import (
     DAY,
@@ -22,7 +22,7 @@ from threadpulse.operators.windows import (
     Span,
     assign_window,
 )
-from threadpulse.plans import slots, top_articles, top_users
+from threadpulse.plans import kept, slots, top_articles, top_users
 from threadpulse.sources import files, ingest, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,4 +166,21 @@ def queries() -> dict[str, Query]:
     out["interarrival_gap"] = _gaps("user_id")
     out["interarrival_gap_article"] = _gaps("article_id")
     out["interarrival_gap_stream"] = _gaps(None)
+
+    cells = [counts.slot_name(i) for i in counts.SLOTS]
+    for key, daily, span, keys, sums in (
+        ("article_counts_week_days", top_articles.counts, WEEK, ["article_id"], ["n"]),
+        ("user_score_month_days", top_users.scores, MONTH, ["author"], ["cents"]),
+        ("slots_month_origin_days", slots.slots, ORIGIN_MONTH, [], cells),
+    ):
+        out[key] = _over_comments(
+            lambda c, daily=daily, span=span, keys=keys, sums=sums: kept.rolled_up(c, daily, span, keys, sums)
+        )
+    columns = ["comment_id", "user_id", "ts"]
+    out["scan_limit_days"] = _over_comments(lambda c: _with_ms(kept.first_rows(c.select(*columns), SCAN_ROWS)))
+    out["stream_credits"] = _over_comments(kept.stream_credits)
+    out["stream_orphans"] = _over_comments(kept.stream_orphans)
+    out["stream_link_records"] = _over_comments(kept.stream_link_records)
+    out["stream_gaps"] = _over_comments(kept.stream_gaps)
+    out["stream_top3_articles_day"] = _over_comments(lambda c: kept.stream_top_articles(c, DAY))
     return out

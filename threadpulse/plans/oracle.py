@@ -318,4 +318,24 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT article_id, comment_id, {_gap('PARTITION BY article_id')} FROM comments"
     )
     out["interarrival_gap_stream"] = _with(f"SELECT comment_id, {_gap('')} FROM comments")
+
+    # Kept tables and streams give what the queries over all comments give.
+    for name in ("article_counts_week", "user_score_month", "slots_month_origin", "scan_limit"):
+        out[f"{name}_days"] = out[name]
+    out["stream_credits"] = _with(
+        """SELECT ts_ms, author, CAST(level AS BIGINT) AS level, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+        FROM credits GROUP BY ts_ms, author, level""",
+        THREADS,
+    )
+    out["stream_orphans"] = out["orphan_replies"]
+    out["stream_link_records"] = out["link_records"]
+    # The watermark is a second behind the newest row, in whole milliseconds.
+    out["stream_gaps"] = _with(
+        f"""SELECT user_id, comment_id, gap_seconds FROM (
+          SELECT user_id, comment_id, ts, {_gap('PARTITION BY user_id')} FROM comments)
+        WHERE epoch_us(ts) <= (SELECT max(ts_ms) - 1000 FROM comments) * 1000"""
+    )
+    closed = f"win_start_ms + {_DAY_MS} <= (SELECT max(ts_ms) - 1000 FROM valid)"
+    top = _top(_article_counts(_DAY_MS), 3, "n", "article_id")
+    out["stream_top3_articles_day"] = _with(f"SELECT * FROM ({top}) WHERE {closed}")
     return out
