@@ -5,11 +5,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import random
 import re
 import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from threadpulse.llm import (
     bottom_k,
@@ -171,6 +173,83 @@ def test_near_duplicates(spark, docs, empty):
     assert bottom_k.near_duplicates(empty).count() == 0
 
 
+def words_of(numbers):
+    return " ".join(f"w{k}" for k in numbers)
+
+
+def near_components(rows):
+    """Smallest doc_id reachable, by brute force over the sets of all rows; rows of one doc_id are one node."""
+    sets = [(i, {tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))}) for i, t in rows if (ws := lowered(t).split())]
+    parent = {i: i for i, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[:a]:
+            if find(i) != find(j) and 4 * len(x & y) >= 3 * len(x | y):
+                low, high = sorted((find(i), find(j)))
+                parent[high] = low
+    return {i: find(i) for i in parent}
+
+
+def families(seed):
+    """Documents around a few centres, at all distances: some link with a centre, some with its variants alone."""
+    rng = random.Random(seed)
+    rows = []
+    for centre in range(3):
+        size = [60, 200, 400][centre]
+        base = [centre * 10_000 + k for k in range(size)]
+        shared = [99_000 + k for k in range(size // 3)]
+        for _ in range(60):
+            text = list(base)
+            for _ in range(rng.choice([0, 1, 2, 4, 8, 16]) * size // 200):
+                text[rng.randrange(len(text))] = rng.randrange(50_000, 90_000)
+            cut = rng.choice([0, 0, 0, size // 10, size // 5])
+            rows.append((shared if rng.random() < 0.2 else []) + text[cut:])
+    rng.shuffle(rows)
+    return [(5 * k, words_of(text)) for k, text in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("seed", "steps"), [(1, 4), (2, 1), (3, 0)])
+def test_large_groups_of_near_duplicates(spark, monkeypatch, seed, steps):
+    """With blocks of eight classes nearly every group is large: hubs, rings, longer keys and pairs of blocks."""
+    monkeypatch.setattr(bottom_k, "BLOCK_DOCS", 8)
+    rows = families(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["component_id"] for r in bottom_k.near_duplicates(docs, steps).collect()}
+    want = near_components(rows)
+    assert found == want and len(set(want.values())) < 150
+
+
+def test_large_group_costs_a_row_a_member(spark):
+    """Copies that differ from each other in a word or two: compared with one hub, in slices."""
+    base = [f"b{k}" for k in range(80)]
+    rows = [(k, " ".join([*base[: k % 70], f"x{k}", *base[k % 70 :]])) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = bottom_k.near_duplicates(docs).groupBy("component_id").count().collect()
+    assert [tuple(r) for r in found] == [(0, 3000)]
+    classes = bottom_k.signatures(docs).selectExpr("doc_id AS class", "doc_id", "set1", "n", "sketch")
+    entries = bottom_k.with_hubs(bottom_k.lists(classes).withColumn("owner", F.lit(None).cast("long")))
+    members = entries.select("hub", "class").distinct().join(classes.select("class", "n"), "class").cache()
+    large = members.groupBy("hub").count().where("count > 512").select(F.col("hub").alias("h"))
+    hot = members.join(large, F.col("hub") == F.col("h")).drop("h")
+    assert hot.count() > 2000
+    assert bottom_k.slices(hot, "n").count() < 1.1 * hot.count()
+    members.unpersist()
+
+
+def test_repeated_rows_and_several_texts_of_an_id(spark):
+    text, other = words_of(range(100)), words_of(range(500, 600))
+    rows = [(7, text)] * 5000 + [(8, text + " end"), (7, other), (3, other), (4, other.upper()), (4, other), (20, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = bottom_k.near_duplicates(docs)
+    counted = {tuple(r) for r in found.groupBy("doc_id", "component_id", "kept").count().collect()}
+    assert counted == {(7, 3, False, 5001), (8, 3, False, 1), (3, 3, True, 1), (4, 3, False, 2), (20, 20, True, 1)}
+
+
 def test_long_chain_is_one_component(spark):
     links = spark.range(1, 300).selectExpr("id AS a", "id + 1 AS b")
     found = components.components(links).collect()

@@ -10,19 +10,28 @@ among the first 32 of their union share no list; at similarity 0.75 that has pro
 and it cannot happen to sets of up to 32 shingles. Keys of two values keep a passage that many documents
 share from linking all of them to a list, as only neighbours count.
 
-Groups. Each list names its smallest document as its hub, and documents that share a list meet in the
-hub's group, where each occurs once. A group is cut into blocks of bounded size, and every pair of blocks
-is a task's unit of work. There the sketches of a union are estimated for all pairs at once by a matrix
-product, and documents without any pair that may reach the threshold go. Those left are compared in the
-same way on their full sets, exactly. Only a spanning forest of the links in a pair of blocks is written,
-so a group of n copies gives about n links, never n squared.
+Groups. Each list names its smallest class as its hub, and classes that share a list meet in the hub's group,
+where each occurs once. Up to `BLOCK_DOCS` classes are one unit of work: the sketches of a union are estimated for
+all pairs at once by a matrix product, classes without any pair that may reach the threshold go, and those left
+are compared in the same way on their full sets, exactly. Only a spanning forest of the links is written.
+
+Large groups. There every member is compared with the hub alone, in slices of bounded size, so a group costs a row
+a member. Members that link with the hub are one component and need no pair among themselves. By the triangle
+inequality of the Jaccard distance, a member at a distance above 0.5 from the hub links with none of them, and one
+at a distance between 0.25 and 0.5 (the ring) only with those at most 0.25 nearer than itself. The rest of the list
+goes on: members not linked, and linked ones that the ring needs, without the hub. After the first of these steps
+the lists of sets above K shingles are made anew with keys of four neighbouring values of the whole sketch, which a
+passage that many documents share meets less often (missed with probability 6e-10 at similarity 0.75). What is large
+after `STEPS` steps is compared in pairs of blocks, all of them, so the result is exact in any case.
 
 The estimate must stay 0.25 below the threshold to be discarded: over 6 standard deviations at k = 128.
 
+Hot lists, hubs and star nodes: joins on them come from exchanges of their own, so adaptive execution parts them.
+
 Defined results: NULL and empty texts have no set, are linked with nothing and stay. A text of fewer than
-five words is one shingle of all its words. doc_id names a document; rows that repeat a doc_id get its
-smallest component. A row with a NULL doc_id is linked with nothing, has a NULL component_id, and stays.
-Other columns are not read.
+five words is one shingle of all its words. doc_id names a document: where it has several texts, each row has its
+own set size, and all of them are linked. Rows that repeat doc_id and text share one class. A row with a NULL
+doc_id is linked with nothing, has a NULL component_id, and stays. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,13 +47,18 @@ from pyspark.sql import functions as F
 from threadpulse.llm import folders
 from threadpulse.llm import words as W
 from threadpulse.llm.components import components
+from threadpulse.operators.skew import lookup_join
 
 SHINGLE = 5
 PERCENT = 75
 K, LISTED = 128, 32
 MARGIN = 25
-#: Documents in a block, and shingles of all of them together.
+#: Classes in a block, and shingles of all of them together.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 18
+#: Steps in which large groups are compared with hubs; neighbours and values of the keys before and after the first.
+STEPS, RUNS = 4, ((2, LISTED), (4, K))
+#: Percent of similarity from which a member of a large group may still matter to those that link with its hub.
+RING = 50
 _COLUMNS = 4096  # of a matrix of shingles at a time
 
 
@@ -107,41 +121,78 @@ def size_class(n: int, percent: int = PERCENT) -> int:
     return math.floor(math.log(n) / -math.log(percent / 100) + 1e-9)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], run: int, listed: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sketches = [np.frombuffer(s, np.uint64)[:LISTED] for s in batch.column("sketch").to_pylist()]
+        sketches = [np.frombuffer(s, np.uint64)[:listed] for s in batch.column("sketch").to_pylist()]
         keys, counts = [], []
         for values, n in zip(sketches, batch.column("n").to_pylist(), strict=True):
-            pairs = W.mix(values[:-1] * np.uint64(3) + W.mix(values[1:])) if len(values) > 1 else values
+            joint = W.mix(values[: max(1, len(values) - run + 1)])
+            for k in range(1, min(run, len(values))):
+                joint = joint * np.uint64(3) + W.mix(values[k : k + len(joint)] + np.uint64(k))
             low = np.uint64(size_class(n))
-            keys += [pairs + W.mix(np.full(len(pairs), low)), pairs + W.mix(np.full(len(pairs), low + np.uint64(1)))]
-            counts.append(2 * len(pairs))
-        doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), counts)
+            joint = W.mix(joint)
+            keys += [joint + W.mix(np.full(len(joint), low)), joint + W.mix(np.full(len(joint), low + np.uint64(1)))]
+            counts.append(2 * len(joint))
+        members = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), counts)
         flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([W.signed(flat), pa.array(doc, pa.int64())], ["key", "doc_id"])
+        yield pa.RecordBatch.from_arrays([W.signed(flat), pa.array(members, pa.int64())], ["key", "class"])
+
+
+def lists(classes: DataFrame, run: int = 2, listed: int = LISTED) -> DataFrame:
+    """key, class: the inverted lists of runs of neighbouring values among the first of each sketch."""
+    wanted = classes.select("class", "n", "sketch")
+    return wanted.mapInArrow(lambda b: _keys(b, run, listed), "key long, class long")
 
 
-def groups(classes: DataFrame) -> DataFrame:
-    """hub, doc_id: the documents that share an inverted list with the smallest one of it, hub included."""
-    entries = classes.select("doc_id", "n", "sketch").mapInArrow(_keys, "key long, doc_id long")
-    hubs = entries.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
-    return entries.join(hubs.select("key", "hub"), "key").select("hub", "doc_id").distinct()
+def with_hubs(entries: DataFrame) -> DataFrame:
+    """key, class, owner and hub of the lists that hold a pair whose members have no common owner.
+
+    An owner is a class that the member links with; members with equal owners are one component.
+    """
+    found = entries.groupBy("key").agg(
+        F.min(F.when(F.col("owner").isNull(), F.col("class"))).alias("free"),
+        F.min("class").alias("first"),
+        F.max("class").alias("last"),
+        F.min("owner").alias("one"),
+        F.max("owner").alias("other"),
+    )
+    hubs = found.where("first < last AND (free IS NOT NULL OR one < other)")
+    hubs = hubs.select(F.col("key").alias("hub_key"), F.coalesce("free", "first").alias("hub"))
+    return lookup_join(entries, hubs, "key", "hub_key").select("key", "class", "owner", "hub")
+
+
+def _room(docs: str, largest: str) -> F.Column:
+    """How many blocks a group takes."""
+    room = F.greatest(F.lit(8), F.least(F.lit(BLOCK_DOCS), F.floor(F.lit(BLOCK_SHINGLES) / F.col(largest))))
+    return F.ceil(F.col(docs) / room).cast("int")
 
 
 def blocks(members: DataFrame, largest: str) -> DataFrame:
-    """hub, i, j, side and doc_id: each document in every pair of blocks of its group, hot groups in several.
+    """hub, i, j, side and class: each class in every pair of blocks of its group.
 
-    A block holds at most BLOCK_DOCS documents and about BLOCK_SHINGLES shingles.
+    A block holds at most BLOCK_DOCS classes and about BLOCK_SHINGLES shingles.
     """
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max(largest).alias("largest"))
-    room = F.greatest(F.lit(8), F.least(F.lit(BLOCK_DOCS), F.floor(F.lit(BLOCK_SHINGLES) / F.col("largest"))))
-    cut = members.join(sizes.where("docs > 1"), "hub").withColumn("parts", F.ceil(F.col("docs") / room).cast("int"))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    sizes = sizes.where("docs > 1").select(F.col("hub").alias("of_hub"), _room("docs", "largest").alias("parts"))
+    cut = lookup_join(members, sizes, "hub", "of_hub")
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda o: F.struct(F.least(F.col("own"), o).alias("i"), F.greatest(F.col("own"), o).alias("j"), (F.col("own") > o).alias("side")),
     )
-    return cut.withColumn("pair", F.explode(pairs)).select("hub", "pair.i", "pair.j", "pair.side", "doc_id")
+    return cut.withColumn("pair", F.explode(pairs)).select("hub", "pair.i", "pair.j", "pair.side", "class")
+
+
+def slices(members: DataFrame, largest: str) -> DataFrame:
+    """hub, i, j, side and class: each member of a group in one slice, with the hub on the other side of each."""
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max(largest).alias("largest"))
+    sizes = sizes.select(F.col("hub").alias("of_hub"), _room("docs", "largest").alias("parts"))
+    others = lookup_join(members.where("class <> hub"), sizes, "hub", "of_hub")
+    others = others.withColumn("i", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+    hubs = sizes.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    hubs = hubs.select(F.col("of_hub").alias("hub"), "i", F.lit(True).alias("side"), F.col("of_hub").alias("class"))
+    both = others.select("hub", "i", F.lit(False).alias("side"), "class").unionByName(hubs)
+    return both.select("hub", "i", (F.col("i") + 1).alias("j"), "side", "class")
 
 
 def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -170,8 +221,10 @@ def _pairs_of(side: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]
     return (every, every) if i == j else (np.flatnonzero(~side), np.flatnonzero(side))
 
 
-def _estimated(sketches: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Whether a pair's similarity, estimated on the sketch of its union, is above threshold less margin.
+def _estimated(
+    sketches: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int
+) -> np.ndarray:
+    """Whether a pair's similarity, estimated on the sketch of its union, is above percent less margin.
 
     Below the smaller of two sketch ends both sketches are complete; a set of up to K values has no end.
     """
@@ -181,8 +234,8 @@ def _estimated(sketches: list[np.ndarray], sizes: np.ndarray, left: np.ndarray,
     below_right = np.stack([np.searchsorted(sketches[b], ends[left], "right") for b in right], axis=1)
     union = below_left + below_right - common
     a, b = sizes[left][:, None], sizes[right][None, :]
-    similar = 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
-    return similar & (100 * common >= (PERCENT - MARGIN) * union) & (common > 0)
+    similar = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+    return similar & (100 * common >= (percent - MARGIN) * union) & (common > 0)
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -209,41 +262,79 @@ def _by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tu
         yield current, pa.Table.from_batches(held)
 
 
-def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (hub, i, j), rows in _by_group(batches, ["hub", "i", "j"]):
-        doc = rows.column("doc_id").to_numpy()
+def _survivors(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for (hub, i, j), rows in _by_group(batches, _UNIT):
+        member = rows.column("class").to_numpy()
         sketches = [np.frombuffer(s, np.uint64) for s in rows.column("sketch").to_pylist()]
         left, right = _pairs_of(rows.column("side").to_numpy(), i, j)
         if not len(left) or not len(right):
             continue
-        good = _estimated(sketches, rows.column("n").to_numpy(), left, right)
+        good = _estimated(sketches, rows.column("n").to_numpy(), left, right, percent)
         if i == j:
             np.fill_diagonal(good, False)
         keep = np.unique(np.concatenate([left[good.any(axis=1)], right[good.any(axis=0)]]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keep), hub), pa.int64()), pa.array(doc[keep])], ["hub", "doc_id"]
+            [pa.array(np.full(len(keep), hub), pa.int64()), pa.array(member[keep])], ["hub", "class"]
         )
 
 
+def _measured(rows: pa.Table, i: int, j: int) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """A unit's rows whose text has the set of the class, their two sides, and the sizes of all pairs' intersections
+    and unions."""
+    sets, own = [], []
+    for batch in W.slices(iter(rows.to_batches()), "text"):
+        hashed, bounds = shingle_sets(batch)
+        one = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(hashed), dtype=np.uint64)])
+        own.append((one[bounds[1:]] - one[bounds[:-1]]).view(np.int64) == batch.column("set1").to_numpy())
+        sets += [hashed[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+    # A doc_id may have other texts, and several with the set of the class.
+    same = np.flatnonzero(np.concatenate(own))
+    member = rows.column("class").to_numpy()[same]
+    use = same[np.sort(np.unique(member, return_index=True)[1])]
+    rows, sets = rows.take(pa.array(use)), [sets[k] for k in use]
+    left, right = _pairs_of(rows.column("side").to_numpy(), i, j)
+    if not len(left) or not len(right):
+        return None
+    sizes = np.array([len(s) for s in sets])
+    common = _common(sets, left, right)
+    return rows, left, right, common, sizes[left][:, None] + sizes[right][None, :] - common
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the exact links of each pair of blocks."""
-    for (_, i, j), rows in _by_group(batches, ["hub", "i", "j"]):
-        doc = rows.column("doc_id").to_numpy()
-        sets = []
-        for batch in W.slices(iter(rows.select(["text"]).to_batches()), "text"):
-            hashed, bounds = shingle_sets(batch)
-            sets += [hashed[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-        left, right = _pairs_of(rows.column("side").to_numpy(), i, j)
-        if not len(left) or not len(right):
+    for (_, i, j), rows in _by_group(batches, _UNIT):
+        found = _measured(rows, i, j)
+        if found is None:
             continue
-        sizes = np.array([len(s) for s in sets])
-        common = _common(sets, left, right)
-        union = sizes[left][:, None] + sizes[right][None, :] - common
-        linked = 100 * common >= PERCENT * union
-        a, b = _forest(left, right, linked, len(doc))
+        rows, left, right, common, union = found
+        doc = rows.column("doc_id").to_numpy()
+        a, b = _forest(left, right, 100 * common >= PERCENT * union, len(doc))
         yield pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(doc[b])], ["a", "b"])
 
 
+def _to_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """hub, class, both documents, similarity and whether it is a link, of members at most as far as the ring."""
+    for (hub, i, j), rows in _by_group(batches, _UNIT):
+        found = _measured(rows, i, j)
+        if found is None:
+            continue
+        rows, left, right, common, union = found
+        common, union = common[:, 0], union[:, 0]
+        near = 100 * common >= RING * union
+        doc = rows.column("doc_id").to_numpy()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(int(near.sum()), hub), pa.int64()),
+                pa.array(rows.column("class").to_numpy()[left[near]]),
+                pa.array(np.full(int(near.sum()), doc[right[0]]), pa.int64()),
+                pa.array(doc[left[near]]),
+                pa.array(common[near] / union[near]),
+                pa.array((100 * common >= PERCENT * union)[near]),
+            ],
+            ["hub", "class", "hub_doc", "doc_id", "similar", "linked"],
+        )
+
+
 def _forest(left: np.ndarray, right: np.ndarray, linked: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join the same nodes as all links do, each node beyond the first of its tree by one."""
     at = {int(x): k for k, x in enumerate(left)}, {int(x): k for k, x in enumerate(right)}
@@ -268,31 +359,109 @@ def _forest(left: np.ndarray, right: np.ndarray, linked: np.ndarray, n: int) ->
 
 
 _UNIT = ["hub", "i", "j"]
-
-
-def links(classes: DataFrame, docs: DataFrame, parts: int) -> DataFrame:
-    """a, b: links between the documents of classes (doc_id, n, sketch) that connect all that are similar."""
-    found = folders.written(groups(classes), "groups")
-    cut = blocks(found.join(classes.select("doc_id", "n"), "doc_id").withColumn("room", F.greatest("n", F.lit(K))), "room")
-    dealt = cut.join(classes, "doc_id")
-    alive = (
-        dealt.repartition(parts, *_UNIT)
-        .sortWithinPartitions(*_UNIT)
-        .mapInArrow(_survivors, "hub long, doc_id long")
-        .distinct()
-    )
-    alive = folders.written(alive, "similar").join(classes.select("doc_id", "n"), "doc_id")
-    texts = docs.join(alive.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text")
-    return (
-        blocks(alive, "n")
-        .join(texts, "doc_id")
-        .repartition(parts, *_UNIT)
-        .sortWithinPartitions(*_UNIT)
-        .mapInArrow(_links, "a long, b long")
-    )
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
+_HUB_DDL = "hub long, class long, hub_doc long, doc_id long, similar double, linked boolean"
+
+
+class _Compared:
+    """Comparison of classes in units, first by sketches, then those left by texts."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame, parts: int) -> None:
+        self.classes, self.docs, self.parts = classes, docs, parts
+
+    def _dealt(self, units: DataFrame, what: DataFrame) -> DataFrame:
+        joined = units.join(what, "class")
+        return joined.repartition(self.parts, *_UNIT).sortWithinPartitions(*_UNIT)
+
+    def _texts(self, alive: DataFrame) -> DataFrame:
+        """class, doc_id, set1 and the texts that the doc_id of each class has, equal ones once."""
+        named = self.classes.select("class", "doc_id", "set1").join(alive.select("class").distinct(), "class", "left_semi")
+        ids = named.select("doc_id").distinct()
+        texts = self.docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").distinct()
+        return named.join(texts, "doc_id")
+
+    def _alive(self, units: DataFrame, percent: int) -> DataFrame:
+        sketched = self._dealt(units, self.classes.select("class", "n", "sketch"))
+        left = sketched.mapInArrow(lambda b: _survivors(b, percent), "hub long, class long").distinct()
+        return folders.written(left, "similar").join(self.classes.select("class", "n"), "class")
+
+    def _sized(self, members: DataFrame) -> DataFrame:
+        return members.join(self.classes.select("class", F.greatest("n", F.lit(K)).alias("room")), "class")
+
+    def all_pairs(self, members: DataFrame) -> DataFrame:
+        """a, b: links that connect all that are similar in each group (hub, class)."""
+        alive = self._alive(blocks(self._sized(members), "room"), PERCENT)
+        return self._dealt(blocks(alive, "n"), self._texts(alive)).mapInArrow(_links, "a long, b long")
+
+    def with_hub(self, members: DataFrame) -> DataFrame:
+        """hub, class, hub_doc, doc_id, similar, linked of the members of each group near its hub."""
+        alive = self._alive(slices(self._sized(members), "room"), RING)
+        return self._dealt(slices(alive, "n"), self._texts(alive)).mapInArrow(_to_hub, _HUB_DDL)
+
+
+def _left_over(entries: DataFrame, near: DataFrame) -> DataFrame:
+    """key, class, owner: what is still to be compared in lists (key, class, owner, hub) after all were compared with
+    their hubs."""
+    known = near.select(F.col("hub").alias("near_hub"), F.col("class").alias("near_class"), "similar", "linked")
+    on = (F.col("hub") == F.col("near_hub")) & (F.col("class") == F.col("near_class"))
+    told = entries.where("class <> hub").join(known, on, "left")
+    linked = F.coalesce("linked", F.lit(False))
+    ring = told.where(~linked & F.col("similar").isNotNull()).groupBy("key").agg(F.max("similar").alias("ring"))
+    told = told.join(ring.select(F.col("key").alias("ring_key"), "ring"), F.col("key") == F.col("ring_key"), "left")
+    needed = ~linked | (F.col("similar") <= F.col("ring") + (1 - PERCENT / 100) + 1e-9)
+    owner = F.coalesce("owner", F.when(linked, F.col("hub"))).alias("owner")
+    return told.where(needed).select("key", "class", owner)
+
+
+def _made_anew(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """The lists with longer keys. Sets up to 2 K shingles stay in theirs as well, where all that are similar to a set
+    up to K are."""
+    of_class = classes.select("class", "n")
+    short = entries.join(of_class, "class").where(F.col("n") <= 2 * K).select("key", "class", "owner")
+    owners = entries.groupBy("class").agg(F.min("owner").alias("owner"))
+    large = classes.where(F.col("n") > K).join(owners.select("class"), "class", "left_semi")
+    long = lists(large, *RUNS[1]).join(owners, "class").select("key", "class", "owner")
+    return short.unionByName(long)
+
+
+def links(classes: DataFrame, docs: DataFrame, parts: int, steps: int = STEPS) -> DataFrame:
+    """a, b: links between the documents of classes (class, doc_id, set1, n, sketch) that connect all that are similar."""
+    compared = _Compared(classes, docs, parts)
+    found = []
+    entries = lists(classes, *RUNS[0]).withColumn("owner", F.lit(None).cast("long"))
+    for step in range(steps + 1):
+        entries = with_hubs(entries)
+        members = folders.written(entries.select("hub", "class").distinct(), "groups")
+        sizes = compared._sized(members).groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max("room").alias("largest"))
+        large = sizes.where(_room("docs", "largest") > 1).select(F.col("hub").alias("large_hub"))
+        large = folders.written(large, "large-groups")
+        last = step == steps or large.isEmpty()
+        small = members if last else members.join(large, F.col("hub") == F.col("large_hub"), "left_anti")
+        found.append(compared.all_pairs(small))
+        if last:
+            break
+        hot = lookup_join(members, large, "hub", "large_hub").select("hub", "class")
+        near = folders.written(compared.with_hub(hot), "near-hubs")
+        found.append(near.where("linked").select(F.col("hub_doc").alias("a"), F.col("doc_id").alias("b")))
+        rest = _left_over(lookup_join(entries, large, "hub", "large_hub"), near)
+        entries = folders.written(rest, "left-over")
+        if step == 0:
+            entries = _made_anew(entries, classes)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _several_texts(named: DataFrame, same: DataFrame) -> DataFrame:
+    """a, b: the documents that stand for the sets of one doc_id."""
+    set_columns = ["set1", "set2", "n"]
+    spread = named.groupBy("doc_id").agg(*(f(c).alias(f"{k}_{c}") for c in set_columns for k, f in (("low", F.min), ("high", F.max))))
+    several = spread.where(" OR ".join(f"low_{c} < high_{c}" for c in set_columns)).select("doc_id")
+    rows = named.select("doc_id", *set_columns).join(several, "doc_id").distinct().join(same, set_columns)
+    return rows.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct()
+
+
+def near_duplicates(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept, for every row."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -301,10 +470,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = signed.where("doc_id IS NOT NULL AND n > 0")
     same = named.groupBy("set1", "set2", "n").agg(F.min("doc_id").alias("lead"))
     # every class once, by its smallest document
+    key = ["set1", "set2", "n", "doc_id"]
     leads = same.select("set1", "set2", "n", F.col("lead").alias("doc_id"))
-    classes = named.select("doc_id", "set1", "set2", "n", "sketch").join(leads, ["set1", "set2", "n", "doc_id"])
-    classes = folders.written(classes.dropDuplicates(["doc_id"]).select("doc_id", "n", "sketch"), "classes")
-    linked = components(links(classes, wanted.where("doc_id IS NOT NULL"), parts))
+    classes = named.select(*key, "sketch").join(leads, key).dropDuplicates(key)
+    classes = classes.select(F.monotonically_increasing_id().alias("class"), "doc_id", "set1", "n", "sketch")
+    classes = folders.written(classes, "classes")  # numbered for good
+    near = links(classes, wanted.where("doc_id IS NOT NULL"), parts, steps)
+    linked = components(near.unionByName(_several_texts(named, same)))
     member = signed.select("doc_id", "n", "set1", "set2").join(same, ["set1", "set2", "n"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "lead", "doc_id")).otherwise(F.col("doc_id"))
     return member.join(linked, F.col("lead") == F.col("node"), "left").select(

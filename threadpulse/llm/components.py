@@ -2,7 +2,8 @@
 
 Every round replaces links by links to the smallest neighbour, once on the side of the larger and once on
 the side of the smaller nodes. The number of links never grows, and the components are stars after about
-log(diameter) rounds. Each round is written to the shared folder; the driver sees two numbers a round.
+log(diameter) rounds. A node with many links is parted by adaptive execution. Each round is written to the
+shared folder; the driver sees two numbers a round.
 """
 
 from __future__ import annotations
@@ -11,20 +12,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadpulse.llm import folders
+from threadpulse.operators.skew import lookup_join
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(smallest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "node")
+    joined = lookup_join(both.where("b > a"), smallest, "a", "node")
+    return joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Links here go from the larger node a to the smaller b."""
-    smallest = links.groupBy("a").agg(F.min("b").alias("m"))
-    joined = links.join(smallest, "a")
+    smallest = links.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "node")
+    joined = lookup_join(links, smallest, "a", "node")
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").unionByName(
-        smallest.select("a", F.col("m").alias("b"))
+        smallest.select(F.col("node").alias("a"), F.col("m").alias("b"))
     )
 
 
