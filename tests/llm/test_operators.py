@@ -213,13 +213,13 @@ def families(seed):
     return [(5 * k, words_of(text)) for k, text in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("seed", "steps"), [(1, 4), (2, 1), (3, 0)])
-def test_large_groups_of_near_duplicates(spark, monkeypatch, seed, steps):
+@pytest.mark.parametrize(("seed", "few"), [(1, 512), (2, 5), (3, 0)])
+def test_large_groups_of_near_duplicates(spark, monkeypatch, seed, few):
     """With blocks of eight classes nearly every group is large: hubs, rings, longer keys and pairs of blocks."""
     monkeypatch.setattr(bottom_k, "BLOCK_DOCS", 8)
     rows = families(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    found = {r["doc_id"]: r["component_id"] for r in bottom_k.near_duplicates(docs, steps).collect()}
+    found = {r["doc_id"]: r["component_id"] for r in bottom_k.near_duplicates(docs, few).collect()}
     want = near_components(rows)
     assert found == want and len(set(want.values())) < 150
 
@@ -232,8 +232,7 @@ def test_large_group_costs_a_row_a_member(spark):
     found = bottom_k.near_duplicates(docs).groupBy("component_id").count().collect()
     assert [tuple(r) for r in found] == [(0, 3000)]
     classes = bottom_k.signatures(docs).selectExpr("doc_id AS class", "doc_id", "set1", "n", "sketch")
-    entries = bottom_k.with_hubs(bottom_k.lists(classes).withColumn("owner", F.lit(None).cast("long")))
-    members = entries.select("hub", "class").distinct().join(classes.select("class", "n"), "class").cache()
+    members = bottom_k.grouped(bottom_k.lists(classes)).join(classes.select("class", "n"), "class").cache()
     large = members.groupBy("hub").count().where("count > 512").select(F.col("hub").alias("h"))
     hot = members.join(large, F.col("hub") == F.col("h")).drop("h")
     assert hot.count() > 2000

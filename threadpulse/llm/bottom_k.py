@@ -10,19 +10,22 @@ among the first 32 of their union share no list; at similarity 0.75 that has pro
 and it cannot happen to sets of up to 32 shingles. Keys of two values keep a passage that many documents
 share from linking all of them to a list, as only neighbours count.
 
-Groups. Each list names its smallest class as its hub, and classes that share a list meet in the hub's group,
-where each occurs once. Up to `BLOCK_DOCS` classes are one unit of work: the sketches of a union are estimated for
-all pairs at once by a matrix product, classes without any pair that may reach the threshold go, and those left
-are compared in the same way on their full sets, exactly. Only a spanning forest of the links is written.
-
-Large groups. There every member is compared with the hub alone, in slices of bounded size, so a group costs a row
-a member. Members that link with the hub are one component and need no pair among themselves. By the triangle
-inequality of the Jaccard distance, a member at a distance above 0.5 from the hub links with none of them, and one
-at a distance between 0.25 and 0.5 (the ring) only with those at most 0.25 nearer than itself. The rest of the list
-goes on: members not linked, and linked ones that the ring needs, without the hub. After the first of these steps
-the lists of sets above K shingles are made anew with keys of four neighbouring values of the whole sketch, which a
-passage that many documents share meets less often (missed with probability 6e-10 at similarity 0.75). What is large
-after `STEPS` steps is compared in pairs of blocks, all of them, so the result is exact in any case.
+Groups. Each list names one class as its hub, and classes that share a list meet in the hub's group, where each
+occurs once. Up to `BLOCK_DOCS` classes are one unit of work: the sketches of a union are estimated for all pairs at
+once by a matrix product, classes without any pair that may reach the threshold go, and those left are compared in
+the same way on their full sets, exactly. Only a spanning forest of the links is written.
+
+Large groups. The hub of a list of more than `LONG_LIST` classes is its most central one: the class whose own lists
+hold most members, as the original of many altered copies does. Every member of a large group is compared with the
+hub alone, in slices of bounded size, so a group costs a row a member. Members that link with the hub are one
+component and need no pair among themselves. By the triangle inequality of the Jaccard distance, a member at a
+distance above 0.5 from the hub links with none of them, and one at a distance between 0.25 and 0.5 (the ring) only
+with those at most 0.25 nearer than itself. What is left are the pairs of the members that do not link with the hub,
+among themselves and with those that the ring needs. Where they are few, they are the second side of every slice.
+Where they are more than `BLOCK_DOCS`, as under a passage that many documents share, the lists are made anew for
+them, with keys of four neighbouring values of the whole sketch (for sets above K shingles, missed with probability
+6e-10 at similarity 0.75), and what is left after a second round is compared in all pairs of blocks. So the result is
+exact in any case.
 
 The estimate must stay 0.25 below the threshold to be discarded: over 6 standard deviations at k = 128.
 
@@ -55,8 +58,10 @@ K, LISTED = 128, 32
 MARGIN = 25
 #: Classes in a block, and shingles of all of them together.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 18
-#: Steps in which large groups are compared with hubs; neighbours and values of the keys before and after the first.
-STEPS, RUNS = 4, ((2, LISTED), (4, K))
+#: Neighbours and values of the keys of the first and of the second round.
+RUNS = (2, LISTED), (4, K)
+#: Classes of a list above which its hub is chosen with care.
+LONG_LIST = 32
 #: Percent of similarity from which a member of a large group may still matter to those that link with its hub.
 RING = 50
 _COLUMNS = 4096  # of a matrix of shingles at a time
@@ -144,21 +149,20 @@ def lists(classes: DataFrame, run: int = 2, listed: int = LISTED) -> DataFrame:
     return wanted.mapInArrow(lambda b: _keys(b, run, listed), "key long, class long")
 
 
-def with_hubs(entries: DataFrame) -> DataFrame:
-    """key, class, owner and hub of the lists that hold a pair whose members have no common owner.
-
-    An owner is a class that the member links with; members with equal owners are one component.
-    """
+def grouped(entries: DataFrame) -> DataFrame:
+    """hub, class: the classes that share a list with the hub of the list, hub included."""
     found = entries.groupBy("key").agg(
-        F.min(F.when(F.col("owner").isNull(), F.col("class"))).alias("free"),
-        F.min("class").alias("first"),
-        F.max("class").alias("last"),
-        F.min("owner").alias("one"),
-        F.max("owner").alias("other"),
+        F.min("class").alias("first"), F.max("class").alias("last"), F.count(F.lit(1)).alias("size")
     )
-    hubs = found.where("first < last AND (free IS NOT NULL OR one < other)")
-    hubs = hubs.select(F.col("key").alias("hub_key"), F.coalesce("free", "first").alias("hub"))
-    return lookup_join(entries, hubs, "key", "hub_key").select("key", "class", "owner", "hub")
+    found = found.where("first < last")
+    sizes = found.where(F.col("size") > LONG_LIST).select(F.col("key").alias("long_key"), "size")
+    long = folders.written(lookup_join(entries, sizes, "key", "long_key").select("key", "class", "size"), "long-lists")
+    scores = long.groupBy("class").agg(F.sum("size").alias("score")).withColumnRenamed("class", "scored")
+    scored = lookup_join(long, scores, "class", "scored")
+    central = scored.groupBy("key").agg(F.max(F.struct("score", (-F.col("class")).alias("class"))).alias("best"))
+    hubs = found.where(F.col("size") <= LONG_LIST).select(F.col("key").alias("hub_key"), F.col("first").alias("hub"))
+    hubs = hubs.unionByName(central.select(F.col("key").alias("hub_key"), (-F.col("best.class")).alias("hub")))
+    return lookup_join(entries, hubs, "key", "hub_key").select("hub", "class").distinct()
 
 
 def _room(docs: str, largest: str) -> F.Column:
@@ -183,6 +187,24 @@ def blocks(members: DataFrame, largest: str) -> DataFrame:
     return cut.withColumn("pair", F.explode(pairs)).select("hub", "pair.i", "pair.j", "pair.side", "class")
 
 
+def sides(rest: DataFrame, largest: str) -> DataFrame:
+    """hub, i, j, side and class: the free members of a group in blocks on one side, all members on the other."""
+    sizes = rest.groupBy("hub").agg(
+        F.count(F.lit(1)).alias("docs"), F.count_if("free").alias("free_docs"), F.max(largest).alias("largest")
+    )
+    sizes = sizes.where("free_docs > 0").select(
+        F.col("hub").alias("of_hub"), _room("docs", "largest").alias("parts"), _room("free_docs", "largest").alias("free_parts")
+    )
+    cut = lookup_join(rest, sizes, "hub", "of_hub")
+    own = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
+    all_of = cut.withColumn("j", F.col("free_parts") + own)
+    all_of = all_of.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("free_parts") - 1)))
+    free = cut.where("free").withColumn("i", F.pmod(F.xxhash64("class", F.lit(1)), F.col("free_parts")).cast("int"))
+    free = free.withColumn("j", F.explode(F.sequence(F.col("free_parts"), F.col("free_parts") + F.col("parts") - 1)))
+    columns = ["hub", "i", "j", "side", "class"]
+    return all_of.withColumn("side", F.lit(False)).select(columns).unionByName(free.withColumn("side", F.lit(True)).select(columns))
+
+
 def slices(members: DataFrame, largest: str) -> DataFrame:
     """hub, i, j, side and class: each member of a group in one slice, with the hub on the other side of each."""
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max(largest).alias("largest"))
@@ -270,8 +292,7 @@ def _survivors(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         if not len(left) or not len(right):
             continue
         good = _estimated(sketches, rows.column("n").to_numpy(), left, right, percent)
-        if i == j:
-            np.fill_diagonal(good, False)
+        good &= member[left][:, None] != member[right][None, :]
         keep = np.unique(np.concatenate([left[good.any(axis=1)], right[good.any(axis=0)]]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(keep), hub), pa.int64()), pa.array(member[keep])], ["hub", "class"]
@@ -289,7 +310,7 @@ def _measured(rows: pa.Table, i: int, j: int) -> tuple[pa.Table, np.ndarray, np.
         sets += [hashed[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
     # A doc_id may have other texts, and several with the set of the class.
     same = np.flatnonzero(np.concatenate(own))
-    member = rows.column("class").to_numpy()[same]
+    member = 2 * rows.column("class").to_numpy()[same] + rows.column("side").to_numpy()[same]
     use = same[np.sort(np.unique(member, return_index=True)[1])]
     rows, sets = rows.take(pa.array(use)), [sets[k] for k in use]
     left, right = _pairs_of(rows.column("side").to_numpy(), i, j)
@@ -397,55 +418,57 @@ class _Compared:
         alive = self._alive(slices(self._sized(members), "room"), RING)
         return self._dealt(slices(alive, "n"), self._texts(alive)).mapInArrow(_to_hub, _HUB_DDL)
 
+    def left_over(self, rest: DataFrame) -> DataFrame:
+        """a, b: links that connect what is similar among pairs of a free member and any member of a group."""
+        alive = self._alive(sides(self._sized(rest), "room"), PERCENT).join(rest, ["hub", "class"])
+        return self._dealt(sides(alive, "n"), self._texts(alive)).mapInArrow(_links, "a long, b long")
+
+
+def _rest(members: DataFrame, near: DataFrame) -> DataFrame:
+    """hub, class, free: what is to be compared after all members were compared with their hub."""
+    told = members.where("class <> hub").join(near.select("hub", "class", "similar", "linked"), ["hub", "class"], "left")
+    told = told.withColumn("free", ~F.coalesce("linked", F.lit(False)))
+    ring = told.where("free").groupBy("hub").agg(F.max("similar").alias("ring")).withColumnRenamed("hub", "of_hub")
+    told = lookup_join(told, ring, "hub", "of_hub")  # groups without a free member are done
+    needed = F.col("similar") <= F.col("ring") + (1 - PERCENT / 100) + 1e-9
+    return told.where(F.col("free") | needed).select("hub", "class", "free")
+
 
-def _left_over(entries: DataFrame, near: DataFrame) -> DataFrame:
-    """key, class, owner: what is still to be compared in lists (key, class, owner, hub) after all were compared with
-    their hubs."""
-    known = near.select(F.col("hub").alias("near_hub"), F.col("class").alias("near_class"), "similar", "linked")
-    on = (F.col("hub") == F.col("near_hub")) & (F.col("class") == F.col("near_class"))
-    told = entries.where("class <> hub").join(known, on, "left")
-    linked = F.coalesce("linked", F.lit(False))
-    ring = told.where(~linked & F.col("similar").isNotNull()).groupBy("key").agg(F.max("similar").alias("ring"))
-    told = told.join(ring.select(F.col("key").alias("ring_key"), "ring"), F.col("key") == F.col("ring_key"), "left")
-    needed = ~linked | (F.col("similar") <= F.col("ring") + (1 - PERCENT / 100) + 1e-9)
-    owner = F.coalesce("owner", F.when(linked, F.col("hub"))).alias("owner")
-    return told.where(needed).select("key", "class", owner)
-
-
-def _made_anew(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """The lists with longer keys. Sets up to 2 K shingles stay in theirs as well, where all that are similar to a set
-    up to K are."""
-    of_class = classes.select("class", "n")
-    short = entries.join(of_class, "class").where(F.col("n") <= 2 * K).select("key", "class", "owner")
-    owners = entries.groupBy("class").agg(F.min("owner").alias("owner"))
-    large = classes.where(F.col("n") > K).join(owners.select("class"), "class", "left_semi")
-    long = lists(large, *RUNS[1]).join(owners, "class").select("key", "class", "owner")
-    return short.unionByName(long)
-
-
-def links(classes: DataFrame, docs: DataFrame, parts: int, steps: int = STEPS) -> DataFrame:
-    """a, b: links between the documents of classes (class, doc_id, set1, n, sketch) that connect all that are similar."""
+def _made_anew(wide: DataFrame, classes: DataFrame) -> DataFrame:
+    """Lists of the classes of wide groups with longer keys. Sets up to 2 K shingles keep theirs as well, so that they
+    meet what is similar to them among sets up to K."""
+    some = classes.join(wide.select("class").distinct(), "class", "left_semi")
+    return lists(some.where(F.col("n") <= 2 * K), *RUNS[0]).unionByName(lists(some.where(F.col("n") > K), *RUNS[1]))
+
+
+def links(classes: DataFrame, docs: DataFrame, parts: int, few: int = BLOCK_DOCS) -> DataFrame:
+    """a, b: links between the documents of classes (class, doc_id, set1, n, sketch) that connect all that are similar.
+
+    Large groups with up to few members that do not link with the hub end in the first round.
+    """
     compared = _Compared(classes, docs, parts)
     found = []
-    entries = lists(classes, *RUNS[0]).withColumn("owner", F.lit(None).cast("long"))
-    for step in range(steps + 1):
-        entries = with_hubs(entries)
-        members = folders.written(entries.select("hub", "class").distinct(), "groups")
+    entries = lists(classes, *RUNS[0])
+    for last in (False, True):
+        members = folders.written(grouped(entries), "groups")
         sizes = compared._sized(members).groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max("room").alias("largest"))
-        large = sizes.where(_room("docs", "largest") > 1).select(F.col("hub").alias("large_hub"))
-        large = folders.written(large, "large-groups")
-        last = step == steps or large.isEmpty()
-        small = members if last else members.join(large, F.col("hub") == F.col("large_hub"), "left_anti")
-        found.append(compared.all_pairs(small))
-        if last:
+        large = folders.written(sizes.where(_room("docs", "largest") > 1).select(F.col("hub").alias("large_hub")), "large-groups")
+        found.append(compared.all_pairs(members.join(large, F.col("hub") == F.col("large_hub"), "left_anti")))
+        if large.isEmpty():
             break
         hot = lookup_join(members, large, "hub", "large_hub").select("hub", "class")
         near = folders.written(compared.with_hub(hot), "near-hubs")
         found.append(near.where("linked").select(F.col("hub_doc").alias("a"), F.col("doc_id").alias("b")))
-        rest = _left_over(lookup_join(entries, large, "hub", "large_hub"), near)
-        entries = folders.written(rest, "left-over")
-        if step == 0:
-            entries = _made_anew(entries, classes)
+        rest = folders.written(_rest(hot, near), "left-over")
+        if last:
+            found.append(compared.left_over(rest))
+            break
+        many = rest.groupBy("hub").agg(F.count_if("free").alias("free_docs")).where(F.col("free_docs") > few)
+        many = folders.written(many.select(F.col("hub").alias("wide_hub")), "wide-groups")
+        found.append(compared.left_over(rest.join(many, F.col("hub") == F.col("wide_hub"), "left_anti")))
+        if many.isEmpty():
+            break
+        entries = _made_anew(lookup_join(rest, many, "hub", "wide_hub"), classes)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -461,7 +484,7 @@ def _several_texts(named: DataFrame, same: DataFrame) -> DataFrame:
     return rows.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, steps: int = STEPS) -> DataFrame:
+def near_duplicates(docs: DataFrame, few: int = BLOCK_DOCS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept, for every row."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -475,7 +498,7 @@ def near_duplicates(docs: DataFrame, steps: int = STEPS) -> DataFrame:
     classes = named.select(*key, "sketch").join(leads, key).dropDuplicates(key)
     classes = classes.select(F.monotonically_increasing_id().alias("class"), "doc_id", "set1", "n", "sketch")
     classes = folders.written(classes, "classes")  # numbered for good
-    near = links(classes, wanted.where("doc_id IS NOT NULL"), parts, steps)
+    near = links(classes, wanted.where("doc_id IS NOT NULL"), parts, few)
     linked = components(near.unionByName(_several_texts(named, same)))
     member = signed.select("doc_id", "n", "set1", "set2").join(same, ["set1", "set2", "n"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "lead", "doc_id")).otherwise(F.col("doc_id"))
