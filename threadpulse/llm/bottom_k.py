@@ -10,22 +10,20 @@ among the first 32 of their union share no list; at similarity 0.75 that has pro
 and it cannot happen to sets of up to 32 shingles. Keys of two values keep a passage that many documents
 share from linking all of them to a list, as only neighbours count.
 
-Groups. Each list names one class as its hub, and classes that share a list meet in the hub's group, where each
-occurs once. Up to `BLOCK_DOCS` classes are one unit of work: the sketches of a union are estimated for all pairs at
+Groups. Each list names its smallest class as its hub, and classes that share a list meet in the hub's group, where
+each occurs once. Up to `BLOCK_DOCS` classes are one unit of work: the sketches of a union are estimated for all pairs at
 once by a matrix product, classes without any pair that may reach the threshold go, and those left are compared in
 the same way on their full sets, exactly. Only a spanning forest of the links is written.
 
-Large groups. The hub of a list of more than `LONG_LIST` classes is its most central one: the class whose own lists
-hold most members, as the original of many altered copies does. Every member of a large group is compared with the
-hub alone, in slices of bounded size, so a group costs a row a member. Members that link with the hub are one
+Large groups. Their hub is their most central class: the one whose own lists hold most members, as those of the
+original of many altered copies do. Large groups with one hub become one. Every member is compared with the hub
+alone, in slices of bounded size, so a group costs a row a member. Members that link with the hub are one
 component and need no pair among themselves. By the triangle inequality of the Jaccard distance, a member at a
 distance above 0.5 from the hub links with none of them, and one at a distance between 0.25 and 0.5 (the ring) only
 with those at most 0.25 nearer than itself. What is left are the pairs of the members that do not link with the hub,
-among themselves and with those that the ring needs. Where they are few, they are the second side of every slice.
-Where they are more than `BLOCK_DOCS`, as under a passage that many documents share, the lists are made anew for
-them, with keys of four neighbouring values of the whole sketch (for sets above K shingles, missed with probability
-6e-10 at similarity 0.75), and what is left after a second round is compared in all pairs of blocks. So the result is
-exact in any case.
+among themselves and with those that the ring needs. They are compared exactly: a few such members as a second side
+of every slice; where they are most of the group, as under a passage that dissimilar documents share, in all pairs
+of blocks of 512, which grows with the square of such a group.
 
 The estimate must stay 0.25 below the threshold to be discarded: over 6 standard deviations at k = 128.
 
@@ -58,10 +56,8 @@ K, LISTED = 128, 32
 MARGIN = 25
 #: Classes in a block, and shingles of all of them together.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 18
-#: Neighbours and values of the keys of the first and of the second round.
-RUNS = (2, LISTED), (4, K)
-#: Classes of a list above which its hub is chosen with care.
-LONG_LIST = 32
+#: Documents whose ids (8 bytes each) may be broadcast to choose their texts before the shuffle.
+BROADCAST_IDS = 1 << 20
 #: Percent of similarity from which a member of a large group may still matter to those that link with its hub.
 RING = 50
 _COLUMNS = 4096  # of a matrix of shingles at a time
@@ -126,43 +122,43 @@ def size_class(n: int, percent: int = PERCENT) -> int:
     return math.floor(math.log(n) / -math.log(percent / 100) + 1e-9)
 
 
-def _keys(batches: Iterator[pa.RecordBatch], run: int, listed: int) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sketches = [np.frombuffer(s, np.uint64)[:listed] for s in batch.column("sketch").to_pylist()]
+        sketches = [np.frombuffer(s, np.uint64)[:LISTED] for s in batch.column("sketch").to_pylist()]
         keys, counts = [], []
         for values, n in zip(sketches, batch.column("n").to_pylist(), strict=True):
-            joint = W.mix(values[: max(1, len(values) - run + 1)])
-            for k in range(1, min(run, len(values))):
-                joint = joint * np.uint64(3) + W.mix(values[k : k + len(joint)] + np.uint64(k))
+            pairs = W.mix(values[:-1] * np.uint64(3) + W.mix(values[1:])) if len(values) > 1 else values
             low = np.uint64(size_class(n))
-            joint = W.mix(joint)
-            keys += [joint + W.mix(np.full(len(joint), low)), joint + W.mix(np.full(len(joint), low + np.uint64(1)))]
-            counts.append(2 * len(joint))
+            keys += [pairs + W.mix(np.full(len(pairs), low)), pairs + W.mix(np.full(len(pairs), low + np.uint64(1)))]
+            counts.append(2 * len(pairs))
         members = np.repeat(batch.column("class").to_numpy(zero_copy_only=False), counts)
         flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
         yield pa.RecordBatch.from_arrays([W.signed(flat), pa.array(members, pa.int64())], ["key", "class"])
 
 
-def lists(classes: DataFrame, run: int = 2, listed: int = LISTED) -> DataFrame:
-    """key, class: the inverted lists of runs of neighbouring values among the first of each sketch."""
-    wanted = classes.select("class", "n", "sketch")
-    return wanted.mapInArrow(lambda b: _keys(b, run, listed), "key long, class long")
+def lists(classes: DataFrame) -> DataFrame:
+    """key, class: the inverted lists of neighbouring values among the first of each sketch."""
+    return classes.select("class", "n", "sketch").mapInArrow(_keys, "key long, class long")
 
 
 def grouped(entries: DataFrame) -> DataFrame:
-    """hub, class: the classes that share a list with the hub of the list, hub included."""
+    """hub, class, score: the classes that share a list with the smallest one of it, and how long these lists are."""
     found = entries.groupBy("key").agg(
-        F.min("class").alias("first"), F.max("class").alias("last"), F.count(F.lit(1)).alias("size")
+        F.min("class").alias("hub"), F.max("class").alias("last"), F.count(F.lit(1)).alias("size")
     )
-    found = found.where("first < last")
-    sizes = found.where(F.col("size") > LONG_LIST).select(F.col("key").alias("long_key"), "size")
-    long = folders.written(lookup_join(entries, sizes, "key", "long_key").select("key", "class", "size"), "long-lists")
-    scores = long.groupBy("class").agg(F.sum("size").alias("score")).withColumnRenamed("class", "scored")
-    scored = lookup_join(long, scores, "class", "scored")
-    central = scored.groupBy("key").agg(F.max(F.struct("score", (-F.col("class")).alias("class"))).alias("best"))
-    hubs = found.where(F.col("size") <= LONG_LIST).select(F.col("key").alias("hub_key"), F.col("first").alias("hub"))
-    hubs = hubs.unionByName(central.select(F.col("key").alias("hub_key"), (-F.col("best.class")).alias("hub")))
-    return lookup_join(entries, hubs, "key", "hub_key").select("hub", "class").distinct()
+    hubs = found.where("hub < last").select(F.col("key").alias("hub_key"), "hub", "size")
+    return lookup_join(entries, hubs, "key", "hub_key").groupBy("hub", "class").agg(F.sum("size").alias("score"))
+
+
+def central(members: DataFrame, scores: DataFrame) -> DataFrame:
+    """hub, class: the groups with their central class as the hub, and those that have the same as one.
+
+    scores has the length of all lists of each class (of_class, total).
+    """
+    known = members.select("hub", "class").join(scores, F.col("class") == F.col("of_class"))
+    best = known.groupBy("hub").agg(F.max(F.struct("total", (-F.col("class")).alias("class"))).alias("best"))
+    best = best.select(F.col("hub").alias("of_hub"), (-F.col("best.class")).alias("centre"))
+    return lookup_join(members, best, "hub", "of_hub").select(F.col("centre").alias("hub"), "class").distinct()
 
 
 def _room(docs: str, largest: str) -> F.Column:
@@ -396,7 +392,8 @@ class _Compared:
     def _texts(self, alive: DataFrame) -> DataFrame:
         """class, doc_id, set1 and the texts that the doc_id of each class has, equal ones once."""
         named = self.classes.select("class", "doc_id", "set1").join(alive.select("class").distinct(), "class", "left_semi")
-        ids = named.select("doc_id").distinct()
+        ids = folders.written(named.select("doc_id").distinct(), "similar-ids")
+        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         texts = self.docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").distinct()
         return named.join(texts, "doc_id")
 
@@ -405,22 +402,23 @@ class _Compared:
         left = sketched.mapInArrow(lambda b: _survivors(b, percent), "hub long, class long").distinct()
         return folders.written(left, "similar").join(self.classes.select("class", "n"), "class")
 
-    def _sized(self, members: DataFrame) -> DataFrame:
+    def sized(self, members: DataFrame) -> DataFrame:
+        """With room, what a class takes in a block of sketches."""
         return members.join(self.classes.select("class", F.greatest("n", F.lit(K)).alias("room")), "class")
 
     def all_pairs(self, members: DataFrame) -> DataFrame:
-        """a, b: links that connect all that are similar in each group (hub, class)."""
-        alive = self._alive(blocks(self._sized(members), "room"), PERCENT)
+        """a, b: links that connect all that are similar in each group (hub, class, room)."""
+        alive = self._alive(blocks(members, "room"), PERCENT)
         return self._dealt(blocks(alive, "n"), self._texts(alive)).mapInArrow(_links, "a long, b long")
 
     def with_hub(self, members: DataFrame) -> DataFrame:
         """hub, class, hub_doc, doc_id, similar, linked of the members of each group near its hub."""
-        alive = self._alive(slices(self._sized(members), "room"), RING)
+        alive = self._alive(slices(self.sized(members), "room"), RING)
         return self._dealt(slices(alive, "n"), self._texts(alive)).mapInArrow(_to_hub, _HUB_DDL)
 
     def left_over(self, rest: DataFrame) -> DataFrame:
         """a, b: links that connect what is similar among pairs of a free member and any member of a group."""
-        alive = self._alive(sides(self._sized(rest), "room"), PERCENT).join(rest, ["hub", "class"])
+        alive = self._alive(sides(rest, "room"), PERCENT).join(rest.select("hub", "class", "free"), ["hub", "class"])
         return self._dealt(sides(alive, "n"), self._texts(alive)).mapInArrow(_links, "a long, b long")
 
 
@@ -434,41 +432,25 @@ def _rest(members: DataFrame, near: DataFrame) -> DataFrame:
     return told.where(F.col("free") | needed).select("hub", "class", "free")
 
 
-def _made_anew(wide: DataFrame, classes: DataFrame) -> DataFrame:
-    """Lists of the classes of wide groups with longer keys. Sets up to 2 K shingles keep theirs as well, so that they
-    meet what is similar to them among sets up to K."""
-    some = classes.join(wide.select("class").distinct(), "class", "left_semi")
-    return lists(some.where(F.col("n") <= 2 * K), *RUNS[0]).unionByName(lists(some.where(F.col("n") > K), *RUNS[1]))
-
-
-def links(classes: DataFrame, docs: DataFrame, parts: int, few: int = BLOCK_DOCS) -> DataFrame:
-    """a, b: links between the documents of classes (class, doc_id, set1, n, sketch) that connect all that are similar.
-
-    Large groups with up to few members that do not link with the hub end in the first round.
-    """
+def links(classes: DataFrame, docs: DataFrame, parts: int) -> DataFrame:
+    """a, b: links between the documents of classes (class, doc_id, set1, n, sketch) that connect all that are similar."""
     compared = _Compared(classes, docs, parts)
-    found = []
-    entries = lists(classes, *RUNS[0])
-    for last in (False, True):
-        members = folders.written(grouped(entries), "groups")
-        sizes = compared._sized(members).groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max("room").alias("largest"))
-        large = folders.written(sizes.where(_room("docs", "largest") > 1).select(F.col("hub").alias("large_hub")), "large-groups")
-        found.append(compared.all_pairs(members.join(large, F.col("hub") == F.col("large_hub"), "left_anti")))
-        if large.isEmpty():
-            break
-        hot = lookup_join(members, large, "hub", "large_hub").select("hub", "class")
+    members = folders.written(compared.sized(grouped(lists(classes))), "groups")
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max("room").alias("largest"))
+    large = folders.written(sizes.where(_room("docs", "largest") > 1).select(F.col("hub").alias("large_hub")), "large-groups")
+    small = members.join(large, F.col("hub") == F.col("large_hub"), "left_anti")
+    found = [folders.written(compared.all_pairs(small), "near-links")]
+    if not large.isEmpty():
+        scores = members.groupBy(F.col("class").alias("of_class")).agg(F.sum("score").alias("total"))
+        hot = folders.written(central(lookup_join(members, large, "hub", "large_hub"), scores), "large-members")
         near = folders.written(compared.with_hub(hot), "near-hubs")
         found.append(near.where("linked").select(F.col("hub_doc").alias("a"), F.col("doc_id").alias("b")))
-        rest = folders.written(_rest(hot, near), "left-over")
-        if last:
-            found.append(compared.left_over(rest))
-            break
-        many = rest.groupBy("hub").agg(F.count_if("free").alias("free_docs")).where(F.col("free_docs") > few)
-        many = folders.written(many.select(F.col("hub").alias("wide_hub")), "wide-groups")
-        found.append(compared.left_over(rest.join(many, F.col("hub") == F.col("wide_hub"), "left_anti")))
-        if many.isEmpty():
-            break
-        entries = _made_anew(lookup_join(rest, many, "hub", "wide_hub"), classes)
+        rest = folders.written(compared.sized(_rest(hot, near)), "left-over")
+        shares = rest.groupBy("hub").agg((2 * F.count_if("free") > F.count(F.lit(1))).alias("most_free"))
+        shares = shares.withColumnRenamed("hub", "of_hub")
+        told = lookup_join(rest, shares, "hub", "of_hub")
+        found.append(folders.written(compared.all_pairs(told.where("most_free").select(rest.columns)), "near-links"))
+        found.append(folders.written(compared.left_over(told.where("NOT most_free").select(rest.columns)), "near-links"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -484,7 +466,7 @@ def _several_texts(named: DataFrame, same: DataFrame) -> DataFrame:
     return rows.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, few: int = BLOCK_DOCS) -> DataFrame:
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links) and kept, for every row."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -498,7 +480,7 @@ def near_duplicates(docs: DataFrame, few: int = BLOCK_DOCS) -> DataFrame:
     classes = named.select(*key, "sketch").join(leads, key).dropDuplicates(key)
     classes = classes.select(F.monotonically_increasing_id().alias("class"), "doc_id", "set1", "n", "sketch")
     classes = folders.written(classes, "classes")  # numbered for good
-    near = links(classes, wanted.where("doc_id IS NOT NULL"), parts, few)
+    near = links(classes, wanted.where("doc_id IS NOT NULL"), parts)
     linked = components(near.unionByName(_several_texts(named, same)))
     member = signed.select("doc_id", "n", "set1", "set2").join(same, ["set1", "set2", "n"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "lead", "doc_id")).otherwise(F.col("doc_id"))

@@ -24,10 +24,10 @@ def _large_star(links: DataFrame) -> DataFrame:
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Links here go from the larger node a to the smaller b."""
-    smallest = links.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "node")
-    joined = lookup_join(links, smallest, "a", "node")
+    smallest = links.groupBy("a").agg(F.min("b").alias("m"))
+    joined = links.join(smallest, "a")  # a node has few smaller ones left
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").unionByName(
-        smallest.select(F.col("node").alias("a"), F.col("m").alias("b"))
+        smallest.select("a", F.col("m").alias("b"))
     )
 
 
