@@ -61,6 +61,7 @@ BROADCAST_IDS = 1 << 20
 #: Percent of similarity from which a member of a large group may still matter to those that link with its hub.
 RING = 50
 _COLUMNS = 4096  # of a matrix of shingles at a time
+_TEXT_BYTES = 3 << 18  # of texts hashed at a time
 
 
 def shingle_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +91,7 @@ def shingle_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in W.slices(batches, "text"):
+    for batch in W.slices(batches, "text", _TEXT_BYTES):
         hashed, bounds = shingle_sets(batch)
         sizes = np.diff(bounds)
         one = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(hashed), dtype=np.uint64)])
@@ -299,7 +300,7 @@ def _measured(rows: pa.Table, i: int, j: int) -> tuple[pa.Table, np.ndarray, np.
     """A unit's rows whose text has the set of the class, their two sides, and the sizes of all pairs' intersections
     and unions."""
     sets, own = [], []
-    for batch in W.slices(iter(rows.to_batches()), "text"):
+    for batch in W.slices(iter(rows.to_batches()), "text", _TEXT_BYTES):
         hashed, bounds = shingle_sets(batch)
         one = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(hashed), dtype=np.uint64)])
         own.append((one[bounds[1:]] - one[bounds[:-1]]).view(np.int64) == batch.column("set1").to_numpy())
