@@ -56,7 +56,7 @@ K, LISTED = 128, 32
 MARGIN = 25
 #: Classes in a block, and shingles of all of them together.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 1 << 18
-#: Documents whose ids (8 bytes each) may be broadcast to choose their texts before the shuffle.
+#: Ids (8 bytes each) that may be broadcast to choose sketches or texts before the shuffle.
 BROADCAST_IDS = 1 << 20
 #: Percent of similarity from which a member of a large group may still matter to those that link with its hub.
 RING = 50
@@ -386,20 +386,26 @@ class _Compared:
     def __init__(self, classes: DataFrame, docs: DataFrame, parts: int) -> None:
         self.classes, self.docs, self.parts = classes, docs, parts
 
+    @staticmethod
+    def _chosen(rows: DataFrame, ids: DataFrame) -> DataFrame:
+        """The rows whose id is among ids (one column of the same name)."""
+        wanted = folders.written(ids.distinct(), "chosen")
+        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+        return rows.join(wanted, ids.columns, "left_semi")
+
     def _dealt(self, units: DataFrame, what: DataFrame) -> DataFrame:
         joined = units.join(what, "class")
         return joined.repartition(self.parts, *_UNIT).sortWithinPartitions(*_UNIT)
 
     def _texts(self, alive: DataFrame) -> DataFrame:
         """class, doc_id, set1 and the texts that the doc_id of each class has, equal ones once."""
-        named = self.classes.select("class", "doc_id", "set1").join(alive.select("class").distinct(), "class", "left_semi")
-        ids = folders.written(named.select("doc_id").distinct(), "similar-ids")
-        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        texts = self.docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").distinct()
+        named = self._chosen(self.classes.select("class", "doc_id", "set1"), alive.select("class"))
+        texts = self._chosen(self.docs, named.select("doc_id")).select("doc_id", "text").distinct()
         return named.join(texts, "doc_id")
 
     def _alive(self, units: DataFrame, percent: int) -> DataFrame:
-        sketched = self._dealt(units, self.classes.select("class", "n", "sketch"))
+        sketches = self._chosen(self.classes.select("class", "n", "sketch"), units.select("class"))
+        sketched = self._dealt(units, sketches)
         left = sketched.mapInArrow(lambda b: _survivors(b, percent), "hub long, class long").distinct()
         return folders.written(left, "similar").join(self.classes.select("class", "n"), "class")
 
