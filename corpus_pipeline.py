@@ -18,12 +18,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id, once.
+    """One document of each group of near duplicates: the one with the smallest doc_id.
 
-    Rows with a NULL doc_id stay.
+    Rows that repeat a doc_id and its text stay once; all texts of a doc_id that stays do. Rows with a NULL doc_id
+    stay.
     """
     kept = bottom_k.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    once = docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
     return once.unionByName(docs.where("doc_id IS NULL"))
 
 
