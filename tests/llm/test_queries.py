@@ -45,3 +45,13 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in result.collect()} == set(left)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0, name
+
+
+def test_near_duplicates_stage_keeps_every_text(spark):
+    """Of a doc_id with two texts both stay, of rows that repeat a text one."""
+    words = " ".join(f"w{k}" for k in range(80))
+    rows = [(1, words, "en"), (1, words, "en"), (1, "another text of the same id", "en"), (2, words + " more", "en"), (None, words, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted([rows[0], rows[2], rows[4]], key=repr)
