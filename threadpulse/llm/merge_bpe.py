@@ -110,7 +110,7 @@ class MergeEncoder:
                 b, limit, from_right = pb[0], rb, True
             else:
                 a, limit, from_right = pa_[1], ra, False
-        if len(self.known) < CACHED_WORDS:
+        if len(self.known) < self.words:
             self.known[left, right] = stable
         return stable
 
@@ -167,7 +167,7 @@ class MergeEncoder:
             ids = self.encode_word(word)
             kept = "".join(f" {i}" for i in ids), len(ids), self._bytes(ids)
         if len(word) <= CACHED_LETTERS:
-            if len(self.young) >= CACHED_WORDS:
+            if len(self.young) >= self.words:
                 self.old, self.young = self.young, {}
             self.young[word] = kept
         return kept
@@ -210,14 +210,14 @@ class MergeEncoder:
         )
 
 
-_encoders: dict[str, MergeEncoder] = {}
+_encoders: dict[tuple[str, int], MergeEncoder] = {}
 
 
-def encoder(model_file: str) -> MergeEncoder:
-    """One encoder for each model in a Python worker."""
-    if model_file not in _encoders:
-        _encoders[model_file] = MergeEncoder(model_file)
-    return _encoders[model_file]
+def encoder(model_file: str, words: int = CACHED_WORDS) -> MergeEncoder:
+    """One encoder for each model and size of its word tables in a Python worker."""
+    if (model_file, words) not in _encoders:
+        _encoders[model_file, words] = MergeEncoder(model_file, words)
+    return _encoders[model_file, words]
 
 
 def encode(docs: DataFrame, model_file: str) -> DataFrame:
@@ -234,11 +234,14 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def digests(docs: DataFrame, model_file: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text."""
+def digests(docs: DataFrame, model_file: str, words: int = CACHED_WORDS) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every whole text.
+
+    Each Python worker keeps two tables of so many words; fewer cost time and save memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(model_file)
+        coder = encoder(model_file, words)
         for batch in W.slices(batches, "text"):
             rows = [coder.digest(t) for t in batch.column("text").to_pylist()]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
