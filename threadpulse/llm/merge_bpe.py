@@ -35,7 +35,8 @@ _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 class MergeEncoder:
     """Pieces of a model file, their order of merging, and the automaton over them."""
 
-    def __init__(self, model_file: str):
+    def __init__(self, model_file: str, words: int = CACHED_WORDS):
+        self.words = words
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         n = model.get_piece_size()
         self.end_id, self.unknown_id = model.eos_id(), model.unk_id()
