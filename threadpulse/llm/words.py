@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
