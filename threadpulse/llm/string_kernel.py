@@ -29,6 +29,7 @@ is missing from the sample, or its texts hold no word of three letters, every sc
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -252,7 +253,7 @@ class Scorer:
         return (1 / (1 + np.exp(-np.clip(self.top(texts) @ slopes + shift, -30, 30)))).tolist()
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, Scorer] = {}
 
 
 def score(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataFrame:
@@ -260,14 +261,15 @@ def score(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = labels.where("toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     texts = [(r["text"], r["toxic"]) for r in labelled.sample(rows, known, "toxic", per_label).collect()]
+    key = uuid.uuid4().hex  # names the model in workers that serve several queries
     fitted = docs.sparkSession.sparkContext.broadcast(fit(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(fitted) not in _scorers:
+        if key not in _scorers:
             _scorers.clear()
-            _scorers[id(fitted)] = Scorer(fitted.value)
+            _scorers[key] = Scorer(fitted.value)
         for batch in W.slices(batches, "text", 1 << 20):
-            found = _scorers[id(fitted)].score(batch.column("text").to_pylist())
+            found = _scorers[key].score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
