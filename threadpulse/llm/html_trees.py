@@ -50,7 +50,7 @@ _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\t\n\f\r />]*+)((?:{_GAP}|/|{_PART.replace('([', '(?:[')})*+)>|<[!?][^>]*>", re.DOTALL
 )
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_SPACE = re.compile(r"[\s​﻿]+")
+_SPACE = re.compile(r"\s+")
 
 # Fixed sets of HTML.
 READ = frozenset("class id role itemprop aria-label hidden style".split())
