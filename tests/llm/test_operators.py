@@ -142,6 +142,47 @@ def test_winnowing(spark, docs, empty):
     assert winnowing.overlaps(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_winnowing_keeps_selected_places(spark):
+    """The table of items has the places that a plain winnowing selects, far fewer than windows, and loses no span."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    items = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(n))) for i, n in enumerate([400, 300, 10, 9, 5, 4, 1])]
+    items.append((7, "same " * 50))
+    stored = winnowing.item_fingerprints(spark.createDataFrame(items, "item_id long, text string")).collect()
+    places, n_windows = {}, 0
+    for i, text in items:
+        ws = text.split()
+        width = min(10, len(ws))
+        gram = min(5, width)
+        grams = {tuple(ws[k : k + gram]) for k in range(len(ws) - gram + 1)}
+        values = [np.frombuffer(hashlib.md5(w.encode()).digest()[:8], np.uint64)[0] for w in ws]
+        assert len(winnowing.select(np.array(values), width, 5)[0]) == len(ws) - width + 1
+        n_windows += len(ws) - width + 1
+        mine = [r for r in stored if r["item_id"] == i]
+        places[i] = {r["place"] for r in mine}
+        by_gram = {}
+        for r in mine:
+            by_gram.setdefault(r["fingerprint"], set()).add(tuple(ws[r["place"] : r["place"] + gram]))
+        assert all(len(g) == 1 and g <= grams for g in by_gram.values())
+        assert sum(len(r["flanks"]) for r in mine) == len(ws) - width + 1
+        # a window has a selected place wherever it stands
+        assert all(places[i] & set(range(k, k + width - gram + 1)) for k in range(len(ws) - width + 1))
+    assert len(stored) < 0.5 * n_windows
+
+    # a k-gram that is common among items and documents, with other words around it, hits nothing
+    common = "one two three four five"
+    bench = [(i, f"a{i} b{i} c{i} {common} d{i} e{i} f{i}") for i in range(50)]
+    texts = [(i, f"x{i} y{i} c{i} {common} d{i} z{i} " * 3) for i in range(50)] + [(99, "so " + bench[7][1]), (99, "so " + bench[7][1])]
+    texts += [(99, bench[8][1] + " " + bench[7][1])]
+    found = winnowing.overlaps(
+        spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    ).where("contaminated")
+    assert sorted((r["doc_id"], r["n_hit"], r["items"]) for r in found.collect()) == [(99, 11, "7"), (99, 11, "7"), (99, 22, "7,8")]
+
+
 def test_near_duplicates(spark, docs, empty):
     copies = [(100 + i, BASE.replace(f"t{i} ", f"q{i} ").replace(f"t{i + 60} ", ""), "c", "en", 1) for i in range(60)]
     rows = docs.unionByName(spark.createDataFrame(copies, SCHEMA))
@@ -347,6 +388,51 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(np.exp(lattice.totals(chances)[0]), brute(0))
 
 
+def test_forward_of_long_words():
+    """Runs of any length are summed whole: in blocks, with others, and as by a plain loop in logarithms."""
+    import numpy as np
+
+    pieces = segment_language.Pieces(queries.PIECE_MODEL)
+    rng = np.random.default_rng(1)
+    chances = rng.random((pieces.n, 3)) / 1000
+    long = "".join(rng.choice(["the", "house", "x", "water", "und", "é", "which", "q"], 2600))
+    words = ["there", long[:33], long[:4095], long[:4096], long[:4097], long, "a" * 70]
+    assert len(long) > 5000
+
+    def plain(word):
+        text, sums = segment_language.MARK + word, [np.zeros(3)]
+        ends = {}
+        for last, value in pieces.automaton.iter(text):
+            ends.setdefault(last + 1, []).append((value & 255, value >> 8))
+        for place in range(1, len(text) + 1):
+            step = segment_language.FLOOR + sum(
+                (np.exp(sums[place - size] - sums[-1]) * chances[piece] for size, piece in ends.get(place, [])), np.zeros(3)
+            )
+            sums.append(sums[-1] + np.log(step))
+        return sums[-1]
+
+    assert np.allclose(pieces.totals(words, chances), [plain(w) for w in words], rtol=1e-9)
+    short = ["there", "water", "which"]
+    assert np.allclose(pieces.totals(short, chances), [plain(w) for w in short], rtol=1e-9)
+    lattice, weight = pieces.lattice(short), np.array([[1.0], [2.0], [3.0]])
+    assert np.allclose(lattice._expected_long(chances, weight), lattice.expected(chances, weight))
+    assert [w for part in segment_language.chunks(words, 4096, 3, 5000) for w in part] == sorted(words, key=len)
+
+
+def test_language_of_odd_texts(spark):
+    """Number signs are no letters, long runs are learned and scored, and learned languages are bounded."""
+    assert segment_language.letters("a½b ² 12 été_x") == ["a", "b", "été", "x"]
+    rows = [(i, w * 60, lang) for i in range(60) for lang, w in [[("en", "thewater"), ("de", "dashaus")][i % 2]]]
+    rows += [(100, "½ ² 12", "en"), (101, "thewater" * 700, None), (102, "dashaus" * 700, None), (101, "thewater" * 700, None)]
+    rows += [(1000 + i, f"label {i}", f"x{i}") for i in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [(r["doc_id"], r["lang_pred"], r["score"]) for r in segment_language.predict(frame, queries.PIECE_MODEL).collect()]
+    assert len(got) == len(rows)
+    assert [g[1:] for g in got if g[0] == 100] == [("und", 0.0)]
+    assert [g[1] for g in got if g[0] == 101] == ["en", "en"] and [g[1] for g in got if g[0] == 102] == ["de"]
+    assert len({g[1] for g in got} - {"und"}) <= segment_language.LANGUAGES
+
+
 def test_toxicity(spark, empty):
     clean = "morning river table window garden letter market summer winter forest".split()
     rude = ["blockhead", "nitwit", "scoundrel"]
