@@ -130,7 +130,7 @@ class Lattice:
 
     def __init__(self, pieces: Pieces, words: list[str]):
         found = [list(pieces.automaton.iter(word)) for word in words]
-        pairs = np.array(list(chain.from_iterable(found)), np.int64).reshape(-1, 2)
+        pairs = np.fromiter(chain.from_iterable(chain.from_iterable(found)), np.int64).reshape(-1, 2)
         self.word = np.repeat(np.arange(len(words)), [len(f) for f in found])
         end, self.size, self.piece = pairs[:, 0] + 1, pairs[:, 1] & 255, pairs[:, 1] >> 8
         self.lengths = np.array([len(w) for w in words], np.int64)
@@ -249,7 +249,7 @@ class Scorer:
         for k, (word, own) in enumerate(zip(words, runs, strict=True)):
             self.row[word] = first + k
             if own:
-                self.known[first + k] = sum(total[p] for p in own)
+                self.known[first + k] = total[own[0]] if len(own) == 1 else sum(total[p] for p in own)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         words = [(t or "").split() for t in texts]
