@@ -4,12 +4,18 @@ Two stateful steps follow a thread. In the first, keyed by the id of a depth-1 c
 depth-2 replies; in the second, keyed by the id of any known comment, its author (and its root's) meets the
 depth-3 replies. Each step keeps the link of its id and the replies that name it, so a reply may come before its
 parent, and a parent may be delivered again: the last copy in event time wins, as in batch. What was emitted
-under another author is taken back with a count of -1 before it is emitted anew, so the sums over all rows equal
-the batch result at any time, whatever the order of delivery.
-
-State grows with the history and lies on disk (RocksDB); a reply costs one appended entry, and only a change of
-its parent's author reads it again. ``salts`` spreads the replies of one id over that many keys; every link goes
-to all of them.
+under another author in an earlier trigger is taken back with a count of -1 before it is emitted anew, so the sums
+over all rows equal the batch result after any trigger, whatever the order of delivery. Replies and parents that
+come in one trigger meet under the link that holds at its end.
+
+Ids lie in `BUCKETS` buckets by hash, and a bucket (per salt) is one key of state: a visit of a key costs
+milliseconds whatever it holds, so a state per id would cost far more than its rows. A trigger reads the links of the
+buckets it touches, and their replies where a parent's author changed; work per trigger is in proportion to the rows
+of these buckets, old and new. Links of one bucket are held in memory, replies are read through.
+
+State grows with the history and lies on disk (RocksDB). Rows are appended in packs, a pack
+a trigger. ``salts`` spreads the replies
+of one id over that many keys; every link goes to all of them.
 """
 
 from __future__ import annotations
@@ -23,9 +29,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from threadpulse.functions.scores import REPLY_CENTS
 from threadpulse.operators.filters import at_depth
+from threadpulse.streaming import packs
 
-# Entries that one call appends to the replies in state.
-_CHUNK = 10_000
+#: Buckets of ids, each with one state per salt. A checkpoint keeps the number it began with.
+BUCKETS = 1024
 
 _LINK = "link_at bigint, link_user bigint, root_user bigint"
 _REPLY = "comment_id bigint, user_id bigint, at bigint"
@@ -37,46 +44,84 @@ _FOUND = (
 
 
 class _Meeting(StatefulProcessor):
-    """An id's link and the replies to it. Links with equal times go by user, then root, as in batch."""
+    """The links of the ids of a bucket and the replies to them. Links with equal times go by user, then root, as in
+    batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # Every copy of the link that counts, with how often: the step before may replace a copy.
-        self.links = handle.getValueState("links", f"copies array<struct<{_columns(_LINK)},n:bigint>>")
-        self.replies = handle.getListState("replies", _REPLY)
+        # Every copy of a link that counts, with how often: the step before may replace a copy. Entries are added up.
+        # An entry packs many rows: (id, link_at, link_user, root_user, n) and (id, comment_id, user_id, at).
+        self.links = handle.getListState("links", packs.SCHEMA)
+        self.replies = handle.getListState("replies", packs.SCHEMA)
+        self.kept = handle.getValueState("kept", "replies bigint")
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key: Any, rows: Iterable[Row], timerValues: Any) -> Iterator[Row]:
-        copies = {tuple(c)[:3]: c[3] for c in self.links.get()[0]} if self.links.exists() else {}
-        before = dict(copies)
+        copies, entries = self.stored_links()
+        earlier = self.kept.get()[0] if self.kept.exists() else 0
+        before: dict[int, tuple | None] = {}  # the link of each id that got one, as it was
+        changes: dict[tuple, int] = {}
         new: list[tuple] = []
-        best = _last(copies)
+        spilled = 0
         for row in rows:
-            if row["kind"] == "link":
-                link = (row["link_at"], row["link_user"], row["root_user"])
-                copies[link] = copies.get(link, 0) + 1
-                if row["was_root"] is not None:
-                    replaced = (*link[:2], row["was_root"])
-                    copies[replaced] = copies.get(replaced, 0) - 1
-                copies = {c: n for c, n in copies.items() if n}
-                yield from self.passed_on(key[0], row)
-                old, best = best, _last(copies)
-                if _authors(old) != _authors(best):
-                    self.keep(new)
+            event = row.asDict()
+            kind, id_ = event["kind"], event["id"]
+            if kind == "link":
+                own = copies.setdefault(id_, {})
+                if id_ not in before:
+                    before[id_] = _last(own)
+                link = (event["link_at"], event["link_user"], event["root_user"])
+                steps = [(link, 1)]
+                if event["was_root"] is not None:
+                    steps.append(((*link[:2], event["was_root"]), -1))
+                for copy, n in steps:
+                    own[copy] = own.get(copy, 0) + n
+                    changes[id_, *copy] = changes.get((id_, *copy), 0) + n
+                yield from self.passed_on(id_, event)
+            elif kind == "reply":
+                new.append((id_, event["comment_id"], event["user_id"], event["at"]))
+                if len(new) >= packs.SIZE:
+                    self.replies.appendValue(packs.pack(new))
+                    spilled += len(new)
                     new = []
-                    for reply in self.replies.get():
-                        yield from self.changed(key[0], tuple(reply), old, best)
             else:
-                reply = (row["comment_id"], row["user_id"], row["at"])
-                new.append(reply)
-                yield from self.matched(key[0], reply, best, 1)
-                if len(new) >= _CHUNK:
-                    self.keep(new)
-                    new = []
-        self.keep(new)
-        if copies != before:
-            self.links.update(([(*link, n) for link, n in copies.items()],))
+                yield from self.passed_on(id_, event)
+        best = {id_: _last(own) for id_, own in copies.items()}
+        moved = {id_: old for id_, old in before.items() if _authors(old) != _authors(best[id_])}
+        if spilled or (moved and earlier):
+            for at, (id_, *reply) in enumerate(packs.unpacked(self.replies)):
+                if at >= earlier:
+                    yield from self.matched(id_, tuple(reply), best.get(id_), 1)
+                elif id_ in moved:
+                    yield from self.changed(id_, tuple(reply), moved[id_], best[id_])
+        for id_, *reply in new:
+            yield from self.matched(id_, tuple(reply), best.get(id_), 1)
+        if new:
+            self.replies.appendValue(packs.pack(new))
+        if new or spilled:
+            self.kept.update((earlier + spilled + len(new),))
+        self.store_links(copies, entries, changes)
+
+    def stored_links(self) -> tuple[dict[int, dict[tuple, int]], int]:
+        """The copies of each id, and from how many entries."""
+        copies: dict[int, dict[tuple, int]] = {}
+        entries = 0
+        for id_, *link, n in packs.unpacked(self.links):
+            own = copies.setdefault(id_, {})
+            own[tuple(link)] = own.get(tuple(link), 0) + n
+            entries += 1
+        return copies, entries
+
+    def store_links(self, copies: dict[int, dict[tuple, int]], entries: int, changes: dict[tuple, int]) -> None:
+        """Append what changed; entries that outnumber the copies by far are written anew."""
+        added = [(*link, n) for link, n in changes.items() if n]
+        live = sum(n != 0 for own in copies.values() for n in own.values())
+        if entries + len(added) > 2 * live + packs.SIZE:
+            self.links.clear()
+            added = [(id_, *link, n) for id_, own in copies.items() for link, n in own.items() if n]
+        for first in range(0, len(added), packs.SIZE):
+            self.links.appendValue(packs.pack(added[first : first + packs.SIZE]))
 
     def changed(self, key: int, reply: tuple, old: tuple | None, new: tuple | None) -> list[Row]:
         """What a reply gives under the new link and did not under the old one, and the other way round."""
@@ -89,12 +134,8 @@ class _Meeting(StatefulProcessor):
                 gone.remove(same)
         return gone + come
 
-    def keep(self, new: list[tuple]) -> None:
-        if new:
-            self.replies.appendList(new)
-
-    def passed_on(self, key: int, row: Row) -> Iterator[Row]:
-        """What a link gives by itself."""
+    def passed_on(self, key: int, row: dict) -> Iterator[Row]:
+        """What a link, or a row that is no reply, gives by itself."""
         raise NotImplementedError
 
     def matched(self, key: int, reply: tuple, link: tuple | None, n: int) -> Iterator[Row]:
@@ -102,10 +143,6 @@ class _Meeting(StatefulProcessor):
         raise NotImplementedError
 
 
-def _columns(ddl: str) -> str:
-    return ",".join(c.strip().replace(" ", ":") for c in ddl.split(","))
-
-
 def _last(copies: dict[tuple, int]) -> tuple | None:
     """The latest link; a root of NULL comes before any other."""
     live = (link for link, n in copies.items() if n > 0)
@@ -119,7 +156,7 @@ def _authors(link: tuple | None) -> tuple | None:
 class _Roots(_Meeting):
     """Depth-1 comments and depth-2 replies to them -> links for the next step, and orphans of depth 2."""
 
-    def passed_on(self, key: int, row: Row) -> Iterator[Row]:
+    def passed_on(self, key: int, row: dict) -> Iterator[Row]:
         if row["first"]:
             yield self.event("link", key, (row["link_at"], row["link_user"], None), (None, None, None))
 
@@ -155,20 +192,10 @@ class _Roots(_Meeting):
 class _Replies(_Meeting):
     """Links of depth 1 and 2 and depth-3 replies to them -> credits, and orphans of both depths."""
 
-    def handleInputRows(self, key: Any, rows: Iterable[Row], timerValues: Any) -> Iterator[Row]:
-        lost: list[Row] = []
-
-        def others() -> Iterator[Row]:
-            for row in rows:
-                if row["kind"] == "orphan":
-                    lost.append(self.found("orphan", row["comment_id"], 2, row["user_id"], row["at"], None, 1, row["n"]))
-                else:
-                    yield row
-
-        yield from super().handleInputRows(key, others(), timerValues)
-        yield from lost
-
-    def passed_on(self, key: int, row: Row) -> Iterator[Row]:
+    def passed_on(self, key: int, row: dict) -> Iterator[Row]:
+        if row["kind"] == "orphan":
+            yield self.found("orphan", row["comment_id"], 2, row["user_id"], row["at"], None, 1, row["n"])
+            return
         if row["first"] and row["root_user"] is not None:
             reply = (row["comment_id"], 2, row["user_id"], row["at"])
             yield self.found("credit", *reply, row["root_user"], 1, 1)
@@ -201,7 +228,8 @@ def _salted(events: DataFrame, salts: int) -> DataFrame:
 
 
 def _met(events: DataFrame, processor: StatefulProcessor, ddl: str, salts: int) -> DataFrame:
-    keyed = _salted(events, salts).groupBy("id", "salt")
+    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
+    keyed = _salted(events, salts).withColumn("bucket", bucket).groupBy("bucket", "salt")
     return keyed.transformWithState(processor, ddl, "append", "none")
 
 
