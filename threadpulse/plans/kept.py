@@ -20,8 +20,9 @@ from threadpulse.sources import days
 from threadpulse.streaming import jobs, threads
 from threadpulse.streaming.link_store import LinkStore, keep_links
 
-# Files, and so triggers, in which comments are delivered.
-FILES = 3
+# Triggers in which comments are delivered, and files of each.
+TRIGGERS = 3
+FILES = 32
 
 
 def first_rows(comments: DataFrame, n: int) -> DataFrame:
@@ -51,12 +52,20 @@ def _disk_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def _streamed(comments: DataFrame, files: int, start: Callable[[DataFrame, str, str], StreamingQuery]) -> str:
-    """Deliver the comments as a stream of so many files, run a job to its end and return the path it wrote to."""
+def _streamed(comments: DataFrame, triggers: int, start: Callable[[DataFrame, str, str], StreamingQuery]) -> str:
+    """Deliver the comments as a stream in so many triggers, run a job to its end and return the path it wrote to.
+
+    A trigger takes files that many tasks wrote, as many as the deployment shuffles with and `FILES` at least. Rows are
+    dealt by all their columns, so that a hot or NULL id is no hot task. One trigger takes whatever files there are.
+    """
     spark = comments.sparkSession
     root = shared_folder(spark, "stream")
-    comments.repartition(files, F.xxhash64("comment_id")).write.parquet(f"{root}/in")
-    source = spark.readStream.schema(comments.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    files = max(FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    comments.repartition(triggers * files, F.xxhash64(*comments.columns)).write.parquet(f"{root}/in")
+    source = spark.readStream.schema(comments.schema)
+    if triggers > 1:
+        source = source.option("maxFilesPerTrigger", files)
+    source = source.parquet(f"{root}/in")
     with _disk_state(spark):
         query = start(source, f"{root}/out", f"{root}/checkpoint")
         query.awaitTermination()
@@ -67,7 +76,7 @@ def _streamed(comments: DataFrame, files: int, start: Callable[[DataFrame, str,
 
 def stream_credits(comments: DataFrame) -> DataFrame:
     """Credits that hold at the end of a stream of comments in no order."""
-    path = _streamed(comments, FILES, jobs.resolve_credits)
+    path = _streamed(comments, TRIGGERS, jobs.resolve_credits)
     changes = comments.sparkSession.read.schema(jobs.CREDITS_SCHEMA).parquet(path)
     held = threads.settled(changes.withColumn("ts_ms", F.unix_millis("ts")).drop("ts"))
     return held.select("ts_ms", "author", F.col("level").cast("bigint").alias("level"), "n", "cents")
@@ -75,14 +84,14 @@ def stream_credits(comments: DataFrame) -> DataFrame:
 
 def stream_orphans(comments: DataFrame) -> DataFrame:
     """Replies without a known parent at the end of a stream."""
-    path = _streamed(comments, FILES, jobs.audit_orphans)
+    path = _streamed(comments, TRIGGERS, jobs.audit_orphans)
     left = threads.settled(comments.sparkSession.read.parquet(path))
     return left.select("comment_id", F.col("depth").cast("bigint").alias("depth"), "in_reply_to")
 
 
 def stream_link_records(comments: DataFrame) -> DataFrame:
     """The lasting table of links after a stream, as text records."""
-    path = _streamed(comments, FILES, lambda source, out, checkpoint: keep_links(source, out, checkpoint, 2))
+    path = _streamed(comments, TRIGGERS, lambda source, out, checkpoint: keep_links(source, out, checkpoint, 2))
     return LinkStore(comments.sparkSession, path).link_records()
 
 
