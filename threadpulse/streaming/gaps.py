@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-# Rows that one call appends to the state.
-_CHUNK = 10_000
+from threadpulse.streaming import packs
 
 
 class _Ordered(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "at bigint, comment_id bigint")
+        self.waiting = handle.getListState("waiting", packs.SCHEMA)  # (at, comment_id)
         self.first = handle.getValueState("first", "at_ms bigint")  # when the next timer fires
         self.last = handle.getValueState("last", "at bigint")
 
@@ -31,11 +30,11 @@ class _Ordered(StatefulProcessor):
             new.append((row["at"], row["comment_id"]))
             at_ms = -(-row["at"] // 1000)
             earliest = at_ms if earliest is None else min(earliest, at_ms)
-            if len(new) >= _CHUNK:
-                self.waiting.appendList(new)
+            if len(new) >= packs.SIZE:
+                self.waiting.appendValue(packs.pack(new))
                 new = []
         if new:
-            self.waiting.appendList(new)
+            self.waiting.appendValue(packs.pack(new))
         self._wake(due, earliest)
         return iter(())
 
@@ -49,7 +48,7 @@ class _Ordered(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(tuple(r) for r in self.waiting.get())
+        rows = sorted(packs.unpacked(self.waiting))
         out = [r for r in rows if r[0] <= passed]
         left = rows[len(out) :]
         previous = self.last.get()[0] if self.last.exists() else None
@@ -59,7 +58,7 @@ class _Ordered(StatefulProcessor):
         if out:
             self.last.update((previous,))
         if left:
-            self.waiting.put(left)
+            self.waiting.put([packs.pack(left[n : n + packs.SIZE]) for n in range(0, len(left), packs.SIZE)])
             self.first.clear()
             self._wake(None, -(-left[0][0] // 1000))
         else:
