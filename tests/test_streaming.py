@@ -397,3 +397,33 @@ def test_random_threads_equal_batch_after_a_restart(spark, disk_state, tmp_path,
     batches = [thread_lines(comments[i::4]) for i in range(4)]
     got = assert_threads_equal_batch(spark, batches, tmp_path, salts, restart=True)
     assert got.where("n < 0").count() > 0
+
+
+def test_a_stream_is_dealt_by_many_tasks_also_with_one_id(spark, disk_state, tmp_path):
+    """Every trigger takes files that several tasks wrote; a NULL id in every row is no hot task."""
+    from threadpulse.plans import kept
+
+    ids = F.lit(None).cast("bigint")
+    comments = spark.range(4000).select(ids.alias("comment_id"), "id", F.timestamp_seconds(F.col("id") + T).alias("ts"))
+    for triggers in (1, 3):
+        taken = []
+
+        def start(source, out, checkpoint, taken=taken):
+            def count(batch, _):
+                taken.append((batch.count(), len(batch.inputFiles()), batch.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]))
+
+            return source.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(count).start()
+
+        kept._streamed(comments, triggers, start)
+        assert sum(n for n, _, _ in taken) == 4000 and len(taken) == triggers
+        assert all(largest < n / 4 for n, _, largest in taken)
+
+
+def test_state_of_threads_is_kept_by_bucket(spark, disk_state, tmp_path):
+    """The keys of state do not grow with the ids."""
+    from threadpulse.streaming.threads import BUCKETS
+
+    deliver(spark, [thread_lines([(i, 1, 0, i, T + i) for i in range(1, 3 * BUCKETS)])], f"{tmp_path}/in")
+    query = finish(jobs.resolve_credits(stream_of(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp", salts=1))
+    keys = max(max(op.numRowsTotal for op in p.stateOperators) for p in query.recentProgress)
+    assert 0 < keys <= BUCKETS
