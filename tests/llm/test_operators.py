@@ -281,6 +281,59 @@ def test_large_group_costs_a_row_a_member(spark):
     members.unpersist()
 
 
+def altered_copies(seed):
+    """Copies of a text that is not among them, altered in few or many words, and texts around a common passage."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(90):
+        text = [f"o{k}" for k in range(150)]
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 9])):
+            text[rng.randrange(150)] = rng.choice([f"new{rng.randrange(10**6)}", f"usual{rng.randrange(3)}"])
+        rows.append(text)
+    for k in range(60):
+        own = [f"own{k // 2}-{j}" for j in range(rng.choice([10, 60, 120]))]
+        rows.append([f"p{j}" for j in range(60)] + own + ["end"] * (k % 2))
+    rng.shuffle(rows)
+    return [(3 * k, " ".join(text)) for k, text in enumerate(rows)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_members_of_large_groups_are_told_apart(spark, monkeypatch, seed):
+    monkeypatch.setattr(bottom_k, "BLOCK_DOCS", 8)
+    rows = altered_copies(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["component_id"] for r in bottom_k.near_duplicates(docs).collect()}
+    want = near_components(rows)
+    assert found == want and len(set(want.values())) < 145
+
+
+@pytest.mark.parametrize("kind", ["passage", "copies"])
+def test_large_group_without_links_makes_no_pairs_of_blocks(spark, monkeypatch, kind):
+    """Texts that share a passage, or are each altered too much: a class is in few units, however large the group."""
+    rng = random.Random(5)
+    made = []
+
+    def counted(members, largest, own=bottom_k.blocks):
+        made.append(own(members, largest).count())
+        return own(members, largest)
+
+    monkeypatch.setattr(bottom_k, "blocks", counted)
+    rows = []
+    for k in range(3000):
+        text = [f"p{j}" for j in range(100)]
+        if kind == "passage":
+            text += [f"own{k}-{j}" for j in range(60)]
+        else:
+            for j in rng.sample(range(100), 6):
+                text[j] = f"own{k}-{j}"
+        rows.append((k, " ".join(text)))
+    rows += [(5000 + k, f"{t} end") for k, t in rows[:50]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {r["doc_id"]: r["component_id"] for r in bottom_k.near_duplicates(docs).collect()}
+    assert all(found[5000 + k] == found[k] for k in range(50)) and len(set(found.values())) > 2900
+    assert sum(made) < 2 * len(rows)
+
+
 def test_repeated_rows_and_several_texts_of_an_id(spark):
     text, other = words_of(range(100)), words_of(range(500, 600))
     rows = [(7, text)] * 5000 + [(8, text + " end"), (7, other), (3, other), (4, other.upper()), (4, other), (20, "alone")]

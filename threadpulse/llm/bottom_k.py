@@ -21,13 +21,24 @@ alone, in slices of bounded size, so a group costs a row a member. Members that
 component and need no pair among themselves. By the triangle inequality of the Jaccard distance, a member at a
 distance above 0.5 from the hub links with none of them, and one at a distance between 0.25 and 0.5 (the ring) only
 with those at most 0.25 nearer than itself. What is left are the pairs of the members that do not link with the hub,
-among themselves and with those that the ring needs. They are compared exactly: a few such members as a second side
-of every slice; where they are most of the group, as under a passage that dissimilar documents share, in all pairs
-of blocks of 512, which grows with the square of such a group.
+among themselves and with those that the ring needs. Where these members fill more than a block, they are
+told apart by what they do not share.
+
+Differences. The centre of such members is the set of the shingles that most of them have, and a member's difference is
+what it has beyond the centre and lacks of it. Two sets x, y are similar if |x - y| + |y - x| is at most a share of
+|x| + |y| (1/7 at 0.75); their differences d are as far from each other as they are. So with the excess
+e = |d| - share * |set|, two members with e1 + e2 <= 0 are similar by the triangle inequality, and others must have
+(e1 + e2) / 2 elements of their differences in common. Members that the one of the least excess reaches in the first way
+(the core) are one component. For the rest, as no pair needs more of its elements than that bound leaves out, two similar
+members share one of the first elements of both differences, in any order; they are taken from the rarest of the group
+on. A member looks for partners of less excess than its own, so a list needs one that looks and one of less excess.
+All of this is exact and costs a row a shingle. An altered copy of a text has only its own alterations in its first
+elements, and a passage that dissimilar documents share is the centre or comes last. These lists are compared as all
+others are. One over 512 members, which have a rare shingle and little else in common, is still cut into pairs of blocks.
 
 The estimate must stay 0.25 below the threshold to be discarded: over 6 standard deviations at k = 128.
 
-Hot lists, hubs and star nodes: joins on them come from exchanges of their own, so adaptive execution parts them.
+Hot lists, hubs, shingles and star nodes: joins on them come from exchanges of their own, so adaptive execution parts them.
 
 Defined results: NULL and empty texts have no set, are linked with nothing and stay. A text of fewer than
 five words is one shingle of all its words. doc_id names a document: where it has several texts, each row has its
@@ -184,24 +195,6 @@ def blocks(members: DataFrame, largest: str) -> DataFrame:
     return cut.withColumn("pair", F.explode(pairs)).select("hub", "pair.i", "pair.j", "pair.side", "class")
 
 
-def sides(rest: DataFrame, largest: str) -> DataFrame:
-    """hub, i, j, side and class: the free members of a group in blocks on one side, all members on the other."""
-    sizes = rest.groupBy("hub").agg(
-        F.count(F.lit(1)).alias("docs"), F.count_if("free").alias("free_docs"), F.max(largest).alias("largest")
-    )
-    sizes = sizes.where("free_docs > 0").select(
-        F.col("hub").alias("of_hub"), _room("docs", "largest").alias("parts"), _room("free_docs", "largest").alias("free_parts")
-    )
-    cut = lookup_join(rest, sizes, "hub", "of_hub")
-    own = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
-    all_of = cut.withColumn("j", F.col("free_parts") + own)
-    all_of = all_of.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("free_parts") - 1)))
-    free = cut.where("free").withColumn("i", F.pmod(F.xxhash64("class", F.lit(1)), F.col("free_parts")).cast("int"))
-    free = free.withColumn("j", F.explode(F.sequence(F.col("free_parts"), F.col("free_parts") + F.col("parts") - 1)))
-    columns = ["hub", "i", "j", "side", "class"]
-    return all_of.withColumn("side", F.lit(False)).select(columns).unionByName(free.withColumn("side", F.lit(True)).select(columns))
-
-
 def slices(members: DataFrame, largest: str) -> DataFrame:
     """hub, i, j, side and class: each member of a group in one slice, with the hub on the other side of each."""
     sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("docs"), F.max(largest).alias("largest"))
@@ -353,6 +346,46 @@ def _to_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """class and shingles (its whole set) from the texts that have the set of the class."""
+    for batch in W.slices(batches, "text", _TEXT_BYTES):
+        hashed, bounds = shingle_sets(batch)
+        sizes = np.diff(bounds)
+        one = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(hashed), dtype=np.uint64)])
+        own = (one[bounds[1:]] - one[bounds[:-1]]).view(np.int64) == batch.column("set1").to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(sizes[own])]).astype(np.int32)
+        sets = pa.ListArray.from_arrays(pa.array(offsets), W.signed(hashed[np.repeat(own, sizes)]))
+        yield pa.RecordBatch.from_arrays([batch.column("class").filter(pa.array(own)), sets], ["class", "shingles"])
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """hub, class, doc_id, excess (in parts of 100 + PERCENT) and size of each member's difference from the centre, how
+    many of its elements no other member has, and the others, rarest first; what is lacking is inverted."""
+    for batch in batches:
+        found, centre = batch.column("found"), batch.column("centre")
+        ends, centre_ends = found.offsets.to_numpy(), centre.offsets.to_numpy()
+        held, key = (found.values.field(c).to_numpy() for c in ("held", "key"))
+        centre_held, centre_key = (centre.values.field(c).to_numpy() for c in ("held", "key"))
+        docs, n = batch.column("docs").to_numpy(), batch.column("n").to_numpy()
+        elements = []
+        for k in range(batch.num_rows):
+            own, usual = slice(ends[k], ends[k + 1]), slice(centre_ends[k], centre_ends[k + 1])
+            beyond = 2 * held[own] <= docs[k]
+            lacking = ~np.isin(centre_key[usual], key[own])
+            rarity = np.concatenate([held[own][beyond], docs[k] - centre_held[usual][lacking]])
+            names = np.concatenate([key[own][beyond], ~centre_key[usual][lacking]])
+            elements.append(names[np.lexsort((names, rarity))])
+        singles = n - np.diff(ends)
+        counts = np.array([len(e) for e in elements], np.int64)
+        rare = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *elements]))
+        )
+        size = singles + counts
+        excess = (100 + PERCENT) * size - (100 - PERCENT) * n
+        columns = [*(batch.column(c) for c in ("hub", "class", "doc_id")), pa.array(excess), pa.array(size), pa.array(singles), rare]
+        yield pa.RecordBatch.from_arrays(columns, ["hub", "class", "doc_id", "excess", "size", "singles", "rare"])
+
+
 def _forest(left: np.ndarray, right: np.ndarray, linked: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join the same nodes as all links do, each node beyond the first of its tree by one."""
     at = {int(x): k for k, x in enumerate(left)}, {int(x): k for k, x in enumerate(right)}
@@ -378,6 +411,7 @@ def _forest(left: np.ndarray, right: np.ndarray, linked: np.ndarray, n: int) ->
 
 _UNIT = ["hub", "i", "j"]
 _HUB_DDL = "hub long, class long, hub_doc long, doc_id long, similar double, linked boolean"
+_DIFFERENCE_DDL = "hub long, class long, doc_id long, excess long, size long, singles long, rare array<long>"
 
 
 class _Compared:
@@ -423,10 +457,51 @@ class _Compared:
         alive = self._alive(slices(self.sized(members), "room"), RING)
         return self._dealt(slices(alive, "n"), self._texts(alive)).mapInArrow(_to_hub, _HUB_DDL)
 
-    def left_over(self, rest: DataFrame) -> DataFrame:
-        """a, b: links that connect what is similar among pairs of a free member and any member of a group."""
-        alive = self._alive(sides(rest, "room"), PERCENT).join(rest.select("hub", "class", "free"), ["hub", "class"])
-        return self._dealt(sides(alive, "n"), self._texts(alive)).mapInArrow(_links, "a long, b long")
+    def differences(self, members: DataFrame) -> DataFrame:
+        """hub, class, doc_id, excess, size, singles, rare of the members (hub, class) of groups; those without a common
+        shingle are left out."""
+        texts = self._texts(members)
+        sets = texts.mapInArrow(_own_sets, "class long, shingles array<long>").dropDuplicates(["class"])
+        sets = folders.written(sets, "member-sets")
+        each = members.join(sets, "class").select("hub", "class", F.explode("shingles").alias("shingle"))
+        each = each.select("hub", "class", F.xxhash64("hub", "shingle").alias("key"))
+        sizes = members.groupBy(F.col("hub").alias("of_hub")).agg(F.count(F.lit(1)).alias("docs"))
+        shared = each.groupBy("hub", "key").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+        shared = folders.written(lookup_join(shared, sizes, "hub", "of_hub").drop("of_hub"), "shared-shingles")
+        usual = F.when(2 * F.col("held") > F.col("docs"), F.struct("held", "key"))
+        centres = shared.groupBy(F.col("hub").alias("of_hub")).agg(F.max("docs").alias("docs"), F.collect_list(usual).alias("centre"))
+        known = lookup_join(each, shared.select(F.col("key").alias("of_key"), "held"), "key", "of_key")
+        known = known.groupBy("hub", "class").agg(F.collect_list(F.struct("held", "key")).alias("found"))
+        known = lookup_join(known.join(self.classes.select("class", "doc_id", "n"), "class"), centres, "hub", "of_hub")
+        return folders.written(known.mapInArrow(_differences, _DIFFERENCE_DDL), "differences")
+
+    def told_apart(self, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """a, b: links that connect the core of each group (hub, class); and hub, class: smaller groups in which its
+        other similar members meet. These have hubs below 0."""
+        apart = self.differences(members)
+        least = apart.groupBy(F.col("hub").alias("of_hub")).agg(F.min(F.struct("excess", "class", "doc_id")).alias("least"))
+        apart = lookup_join(apart, least, "hub", "of_hub").drop("of_hub")
+        apart = apart.withColumn("core", F.col("excess") + F.col("least.excess") <= 0)
+        linked = apart.where("core AND class <> least.class").select(F.col("least.doc_id").alias("a"), F.col("doc_id").alias("b"))
+        # of a pair, the one of more excess probes, and is not of the core
+        beyond = apart.where("NOT core").groupBy(F.col("hub").alias("of_hub")).agg(F.min("excess").alias("next"))
+        apart = lookup_join(apart, beyond, "hub", "of_hub")
+
+        def first(other: F.Column) -> F.Column:
+            """How many of rare are among the first elements, where a partner has this excess or more."""
+            common = F.greatest(F.lit(1), F.ceil((F.col("excess") + other) / F.lit(2 * (100 + PERCENT))))
+            return F.greatest(F.lit(0), F.col("size") - common + 1 - F.col("singles")).cast("int")
+
+        apart = apart.withColumn("indexed", first(F.greatest("excess", "next")))
+        apart = apart.withColumn("probing", F.when(F.col("core"), 0).otherwise(first(F.col("least.excess"))))
+        most = F.slice("rare", F.lit(1), F.greatest("indexed", "probing"))
+        entries = apart.select("class", "indexed", "probing", F.posexplode(most).alias("at", "key"))
+        entries = entries.select("key", "class", (F.col("at") < F.col("indexed")).alias("indexed"), (F.col("at") < F.col("probing")).alias("probing"))
+        entries = folders.written(entries, "rare-elements")
+        live = entries.groupBy(F.col("key").alias("live_key")).agg(F.bool_or("indexed").alias("any"), F.bool_or("probing").alias("asked"))
+        live = live.where("any AND asked").select("live_key")
+        smaller = grouped(lookup_join(entries.select("key", "class"), live, "key", "live_key").select("key", "class"))
+        return linked, smaller.select(F.bitwise_not("hub").alias("hub"), "class")
 
 
 def _rest(members: DataFrame, near: DataFrame) -> DataFrame:
@@ -453,11 +528,14 @@ def links(classes: DataFrame, docs: DataFrame, parts: int) -> DataFrame:
         near = folders.written(compared.with_hub(hot), "near-hubs")
         found.append(near.where("linked").select(F.col("hub_doc").alias("a"), F.col("doc_id").alias("b")))
         rest = folders.written(compared.sized(_rest(hot, near)), "left-over")
-        shares = rest.groupBy("hub").agg((2 * F.count_if("free") > F.count(F.lit(1))).alias("most_free"))
-        shares = shares.withColumnRenamed("hub", "of_hub")
-        told = lookup_join(rest, shares, "hub", "of_hub")
-        found.append(folders.written(compared.all_pairs(told.where("most_free").select(rest.columns)), "near-links"))
-        found.append(folders.written(compared.left_over(told.where("NOT most_free").select(rest.columns)), "near-links"))
+        sizes = rest.groupBy(F.col("hub").alias("of_hub")).agg(F.count(F.lit(1)).alias("docs"), F.max("room").alias("largest"))
+        sizes = sizes.select("of_hub", (_room("docs", "largest") > 1).alias("wide"))
+        told = lookup_join(rest, sizes, "hub", "of_hub").select("hub", "class", "room", "wide")
+        core, smaller = compared.told_apart(told.where("wide").select("hub", "class"))
+        found.append(folders.written(core, "near-cores"))
+        smaller = folders.written(compared.sized(smaller).select("hub", "class", "room"), "smaller-groups")
+        narrow = told.where("NOT wide").select("hub", "class", "room")
+        found.append(folders.written(compared.all_pairs(narrow.unionByName(smaller)), "near-links"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
