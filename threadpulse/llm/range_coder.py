@@ -7,8 +7,11 @@ weighted by how well each has done of late. If neither prediction holds, the ord
 All of it is integer arithmetic, so a decoder on any machine goes through the same states.
 
 Blocks are independent: each starts with an empty model and carries a header, a table of its documents,
-the code words and a checksum over all of it, so a damaged block is detected and costs no other. Many
-blocks are coded side by side, one per lane of numpy arrays.
+the code words and a checksum over all of it, so a damaged block is detected and costs no other.
+
+What goes letter by letter or id by id is Java (TokenBlocks.java), which runs inside Spark: the coder, and
+for tokenizers of the kind of _PARTED the encoding of all words but those with letters outside a few common
+alphabets. These words, and all texts for other tokenizers, go to the tokenizers library in Python.
 
 Layout of a block (little-endian): magic "TPR1", u32 vocabulary size, u32 documents, u32 ids, u32 code
 words, u32 crc32 of everything after this field; then per document i64 doc_id, u32 ids, u8 flags (1: its
@@ -17,6 +20,9 @@ ids began in the block before, 2: doc_id is NULL); then u16 code words.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+import json
 import os
 import struct
 import zlib
@@ -25,260 +31,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from threadpulse.llm import folders
+from threadpulse.llm import folders, jvm
 from threadpulse.llm import words as W
 
 MAGIC = b"TPR1"
 BLOCK_IDS = 8_192
-LANES = 512
 CACHED_WORDS, CACHED_LETTERS = 500_000, 64
+SENT_ROWS, SENT_BLOCKS = 256, 64
+HOLE = 0xFFFFFFFF  # where Java left a word to the library
 
 _HEAD = struct.Struct("<4sIIIII")
 _DOCUMENT = np.dtype([("doc_id", "<i8"), ("n", "<u4"), ("flags", "u1")])
 CONTINUED, NULL_ID = 1, 2
 
-_U = np.uint64
-_SLOTS1, _SLOTS2 = 12, 14  # bits
-_MOST = 15  # highest confidence of a prediction
-_ONE = 1 << 16
-_GAIN = 24  # what one occurrence adds to an order-0 count that starts at 1
-_REFRESH = 1024  # ids between renewals of the order-0 intervals
-
-
-class _Model:
-    """State of the predictions of several blocks, lane by lane. Lanes go out from the end."""
-
-    def __init__(self, lanes: int, vocabulary: int):
-        self.vocabulary = vocabulary
-        self.cumulated = np.broadcast_to(np.arange(vocabulary + 1, dtype=np.int32), (lanes, vocabulary + 1)).copy()
-        self.slots1 = np.zeros(lanes << _SLOTS1, np.uint32)
-        self.slots2 = np.zeros(lanes << _SLOTS2, np.uint32)
-        # probability of a hit by the confidence of one order, and by that of both; then the weights
-        self.single = np.full((2, lanes, 16), _ONE // 2, np.int64)
-        self.joint = np.full((2, lanes, 256), _ONE // 2, np.int64)
-        self.trust = np.full((2, 2, lanes), _ONE // 2, np.int64)
-        self.last = np.zeros((2, lanes), np.int64)
-        self.lane = np.arange(lanes)
-        self.spelled: list[tuple[np.ndarray, np.ndarray]] = []
-        self.step = 0
-
-    def predict(self, m: int) -> None:
-        one, two = self.last[0, :m], self.last[1, :m]
-        lane = self.lane[:m]
-        self.at1 = (lane << _SLOTS1) + ((one * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - _SLOTS1))
-        self.at2 = (lane << _SLOTS2) + (((one * 0x9E3779B1 ^ two * 0x85EBCA77) & 0xFFFFFFFF) >> (32 - _SLOTS2))
-        slot1, slot2 = self.slots1[self.at1], self.slots2[self.at2]
-        self.sure = ((slot2 & 15).astype(np.int64), (slot1 & 15).astype(np.int64))
-        self.guess = ((slot2 >> 4).astype(np.int64), (slot1 >> 4).astype(np.int64))
-
-    def chance(self, k: int, m: int) -> np.ndarray:
-        """Probability, in 1/65536, that guess k holds."""
-        lane = self.lane[:m]
-        own = self.sure[k]
-        both = self.sure[0] * 16 + self.sure[1]
-        self.index = (own, both)
-        a, b = self.single[k, lane, own], self.joint[k, lane, both]
-        va, vb = self.trust[k, 0, :m], self.trust[k, 1, :m]
-        self.parts = (a, b)
-        return np.clip((a * va + b * vb) // (va + vb), 64, _ONE - 64)
-
-    def learn_hit(self, k: int, asked: np.ndarray, hit: np.ndarray) -> None:
-        lane = self.lane[: len(asked)][asked]
-        target = np.where(hit[asked], _ONE, 0)
-        for table, index, part, trust in zip(
-            (self.single[k], self.joint[k]), self.index, self.parts, self.trust[k], strict=True
-        ):
-            old = part[asked]
-            table[lane, index[asked]] = old + ((target - old) >> 4)
-            given = np.where(hit[asked], old, _ONE - old)
-            trust[lane] += (given - trust[lane]) >> 4
-            np.maximum(trust, 256, out=trust)
-
-    def learn(self, ids: np.ndarray, spelled: np.ndarray) -> None:
-        m = len(ids)
-        for slots, at, sure, guess in zip((self.slots2, self.slots1), (self.at2, self.at1), self.sure, self.guess, strict=True):
-            hit = (guess == ids) & (sure > 0)
-            stays = hit | (sure > 1)
-            confidence = np.where(hit, np.minimum(sure + 1, _MOST), np.where(stays, sure >> 1, 1))
-            slots[at] = (np.where(stays, guess, ids) << 4 | confidence).astype(np.uint32)
-        self.last[1, :m] = self.last[0, :m]
-        self.last[0, :m] = ids
-        if spelled.any():
-            self.spelled.append((self.lane[:m][spelled], ids[spelled]))
-        self.step += 1
-        if self.step % _REFRESH == 0 or self.step in (32, 128, 512):
-            self._renew(m)
-
-    def _renew(self, m: int) -> None:
-        if not self.spelled:
-            return
-        lane, ids = (np.concatenate(x) for x in zip(*self.spelled, strict=True))
-        self.spelled = []
-        for first in range(0, m, 16):
-            own = (lane >= first) & (lane < first + 16)
-            rows = min(16, m - first)
-            flat = np.bincount((lane[own] - first) * (self.vocabulary + 1) + ids[own] + 1, minlength=rows * (self.vocabulary + 1))
-            added = flat[: rows * (self.vocabulary + 1)].reshape(rows, -1) * _GAIN
-            self.cumulated[first : first + rows] += np.cumsum(added, axis=1).astype(np.int32)
-
-
-class _Encoder:
-    def __init__(self, lanes: int, ids: int):
-        self.low = np.zeros(lanes, _U)
-        self.range = np.full(lanes, 2**64 - 1, _U)
-        self.out = np.empty((lanes, 3 * ids + 8), np.uint16)
-        self.n = np.zeros(lanes, np.int64)
-
-    def put(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray | int) -> None:
-        unit = self.range[lane] // np.asarray(total, _U)
-        low, width = self.low[lane] + start.astype(_U) * unit, size.astype(_U) * unit
-        while (moving := _settled(low, width)).any():
-            width = np.where(moving & (low ^ (low + width) >= _U(1 << 48)), (~low + _U(1)) & _U(0xFFFFFFFF), width)
-            at = lane[moving]
-            self.out[at, self.n[at]] = (low[moving] >> _U(48)).astype(np.uint16)
-            self.n[at] += 1
-            low, width = np.where(moving, low << _U(16), low), np.where(moving, width << _U(16), width)
-        self.low[lane], self.range[lane] = low, width
-
-    def words(self, lane: int) -> np.ndarray:
-        low = int(self.low[lane])
-        tail = [(low >> s) & 0xFFFF for s in (48, 32, 16, 0)]
-        return np.concatenate([self.out[lane, : self.n[lane]], np.array(tail, np.uint16)])
-
-
-def _settled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Lanes whose upper 16 bits are fixed, or whose range is too small to go on."""
-    return ((low ^ (low + width)) < _U(1 << 48)) | (width < _U(1 << 32))
-
-
-class _Decoder:
-    def __init__(self, words: list[np.ndarray]):
-        lanes = len(words)
-        self.words = np.zeros((lanes, max(map(len, words)) + 8), np.uint16)
-        for i, w in enumerate(words):
-            self.words[i, : len(w)] = w
-        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-        self.code = np.zeros(lanes, _U)
-        for k in range(4):
-            self.code = self.code << _U(16) | self.words[:, k].astype(_U)
-        self.n = np.full(lanes, 4, np.int64)
-
-    def peek(self, lane: np.ndarray, total: np.ndarray | int) -> np.ndarray:
-        self.unit = self.range[lane] // np.asarray(total, _U)
-        return (self.code[lane] - self.low[lane]) // self.unit
-
-    def take(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        """Goes past what peek() found, with the same lanes."""
-        low, width, code = self.low[lane] + start.astype(_U) * self.unit, size.astype(_U) * self.unit, self.code[lane]
-        while (moving := _settled(low, width)).any():
-            width = np.where(moving & (low ^ (low + width) >= _U(1 << 48)), (~low + _U(1)) & _U(0xFFFFFFFF), width)
-            at = lane[moving]
-            word = np.zeros(len(lane), _U)
-            word[moving] = self.words[at, np.minimum(self.n[at], self.words.shape[1] - 1)]
-            self.n[at] += 1
-            low, width = np.where(moving, low << _U(16), low), np.where(moving, width << _U(16), width)
-            code = np.where(moving, code << _U(16) | word, code)
-        self.low[lane], self.range[lane], self.code[lane] = low, width, code
-
-
-def compress(blocks: list[np.ndarray], vocabulary: int) -> list[np.ndarray]:
-    """Code words of each block of ids; blocks must not be empty."""
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-    ids = np.zeros((len(blocks[order[0]]), len(blocks)), np.int64)
-    for lane, i in enumerate(order):
-        ids[: len(blocks[i]), lane] = blocks[i]
-    sizes = np.array([len(blocks[i]) for i in order])
-    model, coder = _Model(len(blocks), vocabulary), _Encoder(len(blocks), len(ids))
-    for step, active in enumerate(_active(sizes)):
-        x = ids[step, :active]
-        model.predict(active)
-        open_ = np.ones(active, bool)
-        for k in (0, 1):
-            asked = open_ & (model.sure[k] > 0)
-            if k:
-                asked &= (model.guess[1] != model.guess[0]) | (model.sure[0] == 0)
-            if not asked.any():
-                continue
-            chance = model.chance(k, active)
-            hit = model.guess[k] == x
-            p, h = chance[asked], hit[asked]
-            coder.put(model.lane[:active][asked], np.where(h, 0, p), np.where(h, p, _ONE - p), _ONE)
-            model.learn_hit(k, asked, hit)
-            open_ &= ~(asked & hit)
-        if open_.any():
-            lane, symbol = model.lane[:active][open_], x[open_]
-            start, end = model.cumulated[lane, symbol], model.cumulated[lane, symbol + 1]
-            coder.put(lane, start, end - start, model.cumulated[lane, vocabulary])
-        model.learn(x, open_)
-    out: list[np.ndarray] = [np.empty(0, np.uint16)] * len(blocks)
-    for lane, i in enumerate(order):
-        out[i] = coder.words(lane)
-    return out
-
-
-def expand(words: list[np.ndarray], sizes: list[int], vocabulary: int) -> list[np.ndarray]:
-    """The ids of blocks of the given sizes."""
-    order = sorted(range(len(words)), key=lambda i: -sizes[i])
-    ordered = np.array([sizes[i] for i in order])
-    ids = np.zeros((ordered[0], len(words)), np.uint32)
-    model, coder = _Model(len(words), vocabulary), _Decoder([words[i] for i in order])
-    for step, active in enumerate(_active(ordered)):
-        x = np.zeros(active, np.int64)
-        model.predict(active)
-        open_ = np.ones(active, bool)
-        for k in (0, 1):
-            asked = open_ & (model.sure[k] > 0)
-            if k:
-                asked &= (model.guess[1] != model.guess[0]) | (model.sure[0] == 0)
-            if not asked.any():
-                continue
-            p = model.chance(k, active)[asked]
-            lane = model.lane[:active][asked]
-            h = coder.peek(lane, _ONE) < p.astype(_U)
-            coder.take(lane, np.where(h, 0, p), np.where(h, p, _ONE - p))
-            hit = np.zeros(active, bool)
-            hit[asked] = h
-            model.learn_hit(k, asked, hit)
-            x[hit] = model.guess[k][hit]
-            open_ &= ~hit
-        if open_.any():
-            lane = model.lane[:active][open_]
-            value = coder.peek(lane, model.cumulated[lane, vocabulary]).astype(np.int64)
-            low, high = np.zeros(len(lane), np.int64), np.full(len(lane), vocabulary, np.int64)
-            for _ in range(vocabulary.bit_length()):
-                middle = (low + high) >> 1
-                above = model.cumulated[lane, middle] > value
-                high, low = np.where(above, middle, high), np.where(above, low, middle)
-            start, end = model.cumulated[lane, low], model.cumulated[lane, low + 1]
-            coder.take(lane, start, end - start)
-            x[open_] = low
-        ids[step, :active] = x
-        model.learn(x, open_)
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(words)
-    for lane, i in enumerate(order):
-        out[i] = ids[: sizes[i], lane].copy()
-    return out
-
-
-def _active(sizes: np.ndarray) -> Iterator[int]:
-    """For each step the number of lanes not at their end; sizes descend."""
-    active = len(sizes)
-    for step in range(sizes[0]):
-        while sizes[active - 1] <= step:
-            active -= 1
-        yield active
-
-
-def pack(documents: np.ndarray, words: np.ndarray, vocabulary: int) -> bytes:
-    """The bytes of a block from its table of documents and its code words."""
-    rest = documents.tobytes() + words.astype("<u2").tobytes()
-    head = (vocabulary, len(documents), int(documents["n"].sum()), len(words))
-    return _HEAD.pack(MAGIC, *head, zlib.crc32(struct.pack("<4I", *head) + rest)) + rest
-
 
 def unpack(block: bytes) -> tuple[int, np.ndarray, np.ndarray]:
     """Vocabulary size, table of documents and code words; ValueError if the block is damaged."""
@@ -314,7 +83,14 @@ class Ids:
     def of(self, texts: list[str | None]) -> list[bytes]:
         if not self.whole_words:
             return [b + self.end for b in self._encoded([t or "" for t in texts])]
-        words = [(t or "").translate(_SPACES).split(" ") for t in texts]
+        return [b"".join(ids) + self.end for ids in self._of_words([(t or "").translate(_SPACES).split(" ") for t in texts])]
+
+    def filled(self, ids: list[bytes], words: list[bytes | None]) -> list[bytes]:
+        """Ids of texts from ids with holes and the words that belong there."""
+        found = iter(self._of_words([w.decode().split(" ") for w in words if w is not None]))
+        return [own if w is None else _with_words(own, next(found)) for own, w in zip(ids, words, strict=True)]
+
+    def _of_words(self, words: list[list[str]]) -> list[list[bytes]]:
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
         known, rare = self.cache, {}
@@ -331,37 +107,74 @@ class Ids:
         out = []
         for own in words:
             try:
-                ids = [known[w] for w in own]
+                out.append([known[w] for w in own])
             except KeyError:  # words too long to keep
-                ids = [known[w] if w in known else rare[w] for w in own]
-            out.append(b"".join(ids) + self.end)
+                out.append([known[w] if w in known else rare[w] for w in own])
         return out
 
 
+def _with_words(ids: bytes, words: list[bytes]) -> bytes:
+    holes = (4 * np.flatnonzero(np.frombuffer(ids, "<u4") == HOLE)).tolist()
+    pieces, start = [], 0
+    for hole, own in zip(holes, words, strict=True):
+        pieces += [ids[start:hole], own]
+        start = hole + 4
+    return b"".join([*pieces, ids[start:]])
+
+
 _SPACES = {c: " " for c in W.WHITE}
 _tokenizers: dict[tuple, Ids] = {}
 
-
-def _write_blocks(rows: Iterator[tuple[int | None, bytes]], vocabulary: int, block_ids: int) -> Iterator[bytes]:
-    """Blocks of up to block_ids ids from documents in order; a longer document goes on in the next."""
+#: The tokenizers that Java knows: bytes of words in lower case, parted so, with a mark at their end.
+_PARTED = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_MERGED = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def _model(path: str, end_id: int) -> bytes | None:
+    """Number of merges, end id, ids of bytes and merges of a tokenizer for Java, deflated; None if it is of another kind."""
+    made = json.loads(Tokenizer.from_file(path).to_str())
+    merged, parted = made["model"], all(made[k] == v for k, v in _PARTED.items())
+    special = all(t["content"].startswith("<|") and not t["lstrip"] and not t["rstrip"] for t in made["added_tokens"])
+    if not parted or not special or not _MERGED.items() <= merged.items() or merged["end_of_word_suffix"] != "</w>":
+        return None
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    letters = dict(zip(printed, map(chr, printed), strict=True)) | {b: chr(256 + i) for i, b in enumerate(others)}
+    ids, pairs = merged["vocab"], [m.split(" ") if isinstance(m, str) else m for m in merged["merges"]]
+    try:
+        found = [len(pairs), end_id, *(ids[letters[b]] for b in range(256)), *(ids[letters[b] + "</w>"] for b in range(256))]
+        found += [i for a, b in pairs for i in (ids[a], ids[b], ids[a + b])]
+    except KeyError:
+        return None
+    return zlib.compress(np.array(found, "<i4").tobytes())
+
+
+def _blocks(rows: Iterator[tuple[int | None, bytes]], block_ids: int) -> Iterator[tuple[bytes, bytes]]:
+    """Tables and ids of blocks of up to block_ids ids from documents in order; a longer document goes on in the next."""
     documents: list[tuple[int, int, int]] = []
     pieces: list[bytes] = []
-    held, waiting = 0, []
-
-    def close() -> None:
-        nonlocal held
-        if documents:
-            waiting.append((np.array(documents, _DOCUMENT), np.frombuffer(b"".join(pieces), "<u4")))
-        documents.clear()
-        pieces.clear()
-        held = 0
-
-    def flush() -> Iterator[bytes]:
-        if waiting:
-            coded = compress([ids for _, ids in waiting], vocabulary)
-            yield from (pack(table, words, vocabulary) for (table, _), words in zip(waiting, coded, strict=True))
-            waiting.clear()
-
+    held = 0
     for doc_id, ids in rows:
         flags = NULL_ID if doc_id is None else 0
         at = 0
@@ -371,11 +184,22 @@ def _write_blocks(rows: Iterator[tuple[int | None, bytes]], vocabulary: int, blo
             pieces.append(part)
             held, at = held + len(part) // 4, at + len(part)
             if held == block_ids:
-                close()
-                if len(waiting) == LANES:
-                    yield from flush()
-    close()
-    yield from flush()
+                yield np.array(documents, _DOCUMENT).tobytes(), b"".join(pieces)
+                documents, pieces, held = [], [], 0
+    if documents:
+        yield np.array(documents, _DOCUMENT).tobytes(), b"".join(pieces)
+
+
+_PIECES = "array<struct<place int, doc_id long, continued boolean, ids binary>>"
+_FUNCTIONS = {
+    "token_block": ("threadpulse.llm.TokenBlocks$Pack", "binary"),
+    "token_pieces": ("threadpulse.llm.TokenBlocks$Unpack", _PIECES),
+    "joined_crc32": ("threadpulse.llm.TokenBlocks$JoinedCrc", "long"),
+}
+
+
+def _register(spark: SparkSession) -> None:
+    jvm.register(spark, "TokenBlocks.java", _FUNCTIONS)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: int = BLOCK_IDS) -> None:
@@ -391,68 +215,37 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: in
         part = TaskContext.get().partitionId()
 
         def rows() -> Iterator[tuple[int | None, bytes]]:
-            for batch in W.slices(batches, "text"):
-                yield from zip(batch.column("doc_id").to_pylist(), coder.of(batch.column("text").to_pylist()), strict=True)
-
-        for number, block in enumerate(_write_blocks(rows(), coder.vocabulary, block_ids)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([block], pa.binary())],
-                ["part", "block", "payload"],
-            )
-
+            for batch in batches if model else W.slices(batches, "text"):
+                for i in range(0, batch.num_rows, SENT_ROWS):
+                    doc_id, given = batch.slice(i, SENT_ROWS).columns
+                    ids = coder.filled(*(x.to_pylist() for x in given.flatten())) if model else coder.of(given.to_pylist())
+                    yield from zip(doc_id.to_pylist(), ids, strict=True)
+
+        blocks = enumerate(_blocks(rows(), block_ids))
+        while found := [(part, n, coder.vocabulary, *block) for n, block in itertools.islice(blocks, SENT_BLOCKS)]:
+            columns = zip(zip(*found, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)
+            names = ["part", "block", "vocabulary", "documents", "ids"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names)
+
+    spark, model = docs.sparkSession, _model(tokenizer, end_id)
+    _register(spark)
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = wanted.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(run, "part int, block int, payload binary").write.parquet(path)
+    if model:
+        encode = "threadpulse.llm.TokenBlocks$Encode", "ids binary, words binary", hashlib.sha256(model).hexdigest(), model
+        jvm.register(spark, "TokenBlocks.java", {"token_ids": encode})
+        dealt = dealt.select("doc_id", F.call_function("token_ids", F.col("text").cast("binary")).alias("text"))
+    open_ = dealt.mapInArrow(run, "part int, block int, vocabulary int, documents binary, ids binary")
+    payload = F.call_function("token_block", "documents", "ids", "vocabulary")
+    open_.select("part", "block", payload.alias("payload")).write.parquet(path)
 
 
-def read(spark, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str) -> DataFrame:
     """Pieces of documents in the blocks of a path: part, block, place, doc_id, continued, ids (binary, u32)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, LANES):
-                yield from _expanded(batch.slice(first, LANES))
-
-    schema = "part int, block int, place int, doc_id long, continued boolean, ids binary"
+    _register(spark)
     blocks = spark.read.schema("part int, block int, payload binary").parquet(path)
-    return blocks.mapInArrow(run, schema)
-
-
-def _expanded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    opened = [unpack(b) for b in batch.column("payload").to_pylist()]
-    if not opened:
-        return
-    sizes = [int(table["n"].sum()) for _, table, _ in opened]
-    ids = expand([words for _, _, words in opened], sizes, opened[0][0])
-    for part, block, (_, table, _), own in zip(
-        batch.column("part").to_pylist(), batch.column("block").to_pylist(), opened, ids, strict=True
-    ):
-        n = len(table)
-        ends = np.cumsum(table["n"]).tolist()
-        data = own.astype("<u4").tobytes()
-        pieces = [data[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
-        doc_id = pa.array(table["doc_id"].astype(np.int64), mask=(table["flags"] & NULL_ID) > 0)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([part] * n, pa.int32()),
-                pa.array([block] * n, pa.int32()),
-                pa.array(range(n), pa.int32()),
-                doc_id,
-                pa.array((table["flags"] & CONTINUED) > 0),
-                pa.array(pieces, pa.binary()),
-            ],
-            ["part", "block", "place", "doc_id", "continued", "ids"],
-        )
-
-
-def _joined_crc(pieces: list[tuple[int, int]]) -> int:
-    """crc32 of pieces laid end to end, from the (crc32, number of bytes) of each."""
-    crc = 0
-    for own, n in pieces:
-        zeros = bytes(n)
-        crc = zlib.crc32(zeros, crc) ^ zlib.crc32(zeros) ^ own
-    return crc
+    return blocks.select("part", "block", F.inline(F.call_function("token_pieces", "payload")))
 
 
 def positions(pieces: DataFrame) -> DataFrame:
@@ -461,17 +254,11 @@ def positions(pieces: DataFrame) -> DataFrame:
     Start sums the ids before a document: within its part by a window, before the part by one number per
     part. Only documents longer than a block have more than one piece.
     """
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            columns = [batch.column(c) for c in ("part", "block", "place", "doc_id", "continued")]
-            columns += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "block", "place", "doc_id", "continued", "n", "crc"])
-
-    joined = F.udf(lambda found: _joined_crc([(p["crc"], 4 * p["n"]) for p in found]), "long", useArrow=True)
-    measured = pieces.mapInArrow(
-        measure, "part int, block int, place int, doc_id long, continued boolean, n long, crc long"
+    _register(pieces.sparkSession)
+    measured = pieces.select(
+        *("part", "block", "place", "doc_id", "continued"),
+        (F.length("ids") / 4).cast("long").alias("n"),
+        F.crc32("ids").alias("crc"),
     )
     measured = folders.written(measured, "token-pieces")
     in_part = Window.partitionBy("part").orderBy("block", "place")
@@ -491,5 +278,7 @@ def positions(pieces: DataFrame) -> DataFrame:
         "doc_id",
         (F.col("offset") + F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0))).alias("start"),
         "n_tokens",
-        F.when(F.size("found") == 1, F.col("found")[0]["crc"]).otherwise(joined("found")).alias("ids_crc32"),
+        F.when(F.size("found") == 1, F.col("found")[0]["crc"])
+        .otherwise(F.call_function("joined_crc32", F.col("found")["crc"], F.col("found")["n"]))
+        .alias("ids_crc32"),
     )
